@@ -3,14 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import documents
+from .common import crc_mod, documents
+from .decontam import contamination
+from .langid import identify
 from .neardup import near_duplicates
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
+    return identify(documents(spark, sf_dir, "doc_id", "text", "lang"), held_out, ~held_out & F.col("doc_id").isNotNull())
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), k=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup,)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_minhash_neardup, op9_decontamination)}
 ORACLES: dict[str, str] = {}
