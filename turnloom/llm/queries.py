@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from .common import crc_mod, documents
 from .decontam import contamination
 from .langid import identify
+from .lmscore import score
+from .mixture import curriculum
 from .neardup import near_duplicates
+from .warc import read_archives, write_archives
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +19,47 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir, "doc_id", "text", "lang"), held_out, ~held_out & F.col("doc_id").isNotNull())
 
 
+def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), k=4, percent=80)
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
+    return score(documents(spark, sf_dir, "doc_id", "text"), held_out, ~held_out & F.col("doc_id").isNotNull())
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_minhash_neardup, op9_decontamination)}
-ORACLES: dict[str, str] = {}
+def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = curriculum(documents(spark, sf_dir, "doc_id", "text", "source"), keep_text=False)
+    return out.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_warc_bundles,
+        op3_minhash_neardup,
+        op7_lm_scoring,
+        op9_decontamination,
+        op10_curriculum_mix,
+    )
+}
+
+ORACLES: dict[str, str] = {
+    "op2_warc_bundles": """
+        WITH p AS (SELECT page_id, coalesce(octet_length(encode(html)), 0)::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN f.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
+        FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+    """,
+}
