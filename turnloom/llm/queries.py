@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import repair
 from .common import crc_mod, documents
 from .decontam import contamination
 from .langid import identify
 from .lmscore import score
 from .mixture import curriculum
 from .neardup import near_duplicates
+from .quality import judge
+from .secrets import find_secrets
+from .urlrules import blocked_ids, judge_urls
 from .warc import read_archives, write_archives
 
 
@@ -27,11 +31,28 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), k=4, percent=80)
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), blocked_ids(labels))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
     return score(documents(spark, sf_dir, "doc_id", "text"), held_out, ~held_out & F.col("doc_id").isNotNull())
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir, "doc_id", "text", "lang"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
 
@@ -47,7 +68,11 @@ QUERIES = {
         op1_language_id,
         op2_warc_bundles,
         op3_minhash_neardup,
+        op4_chat_format,
+        op5_secret_scan,
+        op6_url_filter,
         op7_lm_scoring,
+        op8_quality_rules,
         op9_decontamination,
         op10_curriculum_mix,
     )
