@@ -44,10 +44,11 @@ SLOTS = (1 << 16, 1 << 18, 1 << 19, 1 << 20, 1 << 21)
 BASE = np.concatenate([[0], np.cumsum(SLOTS)]).astype(np.int64)
 TOTAL = int(BASE[-1])
 BLOCK = 1 << 14
-GATES, LEVELS, BUCKETS = 4, 4, 33
-LIMITS = (1.6, 2.2, 3.0)
+GATES, LEVELS, BUCKETS = 4, 2, 33
+#: A text is dear once it has cost more bits a byte than this.
+DEAR = 2.2
 HEAD = 1 << 20
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 FAN_IN = 128
 STEPS = 3
 #: A task's chunks start small, so that weights learn early, and double up to CHUNK.
@@ -74,30 +75,51 @@ def canonical(w: K.Words) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
-def windows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Each byte with its five predecessors (line feeds before the text), as one number."""
-    n = len(data)
+def windows(data: np.ndarray, offsets: np.ndarray, bits: int = 8, blank: int = 10) -> np.ndarray:
+    """Each byte with its five predecessors (`blank` before the text), as one number of `bits` each."""
     key = data.astype(U)
-    place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
     for j in range(1, 6):
-        past = np.full(n, 10, np.uint8)
-        past[j:] = data[: n - j] if n > j else data[:0]
-        past[place < j] = 10
-        key |= past.astype(U) << U(8 * j)
+        key[j:] |= data[: max(0, len(data) - j)].astype(U) << U(bits * j)
+    pad = sum(blank << (bits * j) for j in range(6))
+    for r in range(5):
+        at = offsets[:-1][np.diff(offsets) > r] + r
+        own = (1 << (bits * (r + 1))) - 1
+        key[at] = (key[at] & U(own)) | U(pad & ~own)
     return key
 
 
-def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, index of each key among them, counts)."""
-    order = np.argsort(key)
-    s = key[order]
-    new = np.empty(len(s), bool)
-    new[0], new[1:] = True, s[1:] != s[:-1]
-    ids = np.cumsum(new) - 1
-    inverse = np.empty(len(s), np.int32)
-    inverse[order] = ids
+def distinct(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct windows of 8 bits a byte, index of each byte's window among them, counts).
+
+    Where at most 128 byte values occur, windows take 42 bits and are sorted together
+    with their place; else they are sorted by index.  The result is the same set.
+    """
+    n = len(data)
+    used = np.flatnonzero(np.bincount(data, minlength=256) | (np.arange(256) == 10))
+    small = len(used) <= 128 and n < 1 << 22
+    if small:
+        rank = np.zeros(256, np.uint8)
+        rank[used] = np.arange(len(used))
+        packed = windows(rank[data], offsets, 7, int(rank[10]))
+        packed <<= U(22)
+        packed |= np.arange(n, dtype=U)
+        packed.sort()
+        order = (packed & U((1 << 22) - 1)).astype(np.int32)
+        packed >>= U(22)
+    else:
+        packed = windows(data, offsets)
+        order = np.argsort(packed)
+        packed = packed[order]
+    new = np.empty(n, bool)
+    new[0] = True
+    np.not_equal(packed[1:], packed[:-1], out=new[1:])
+    inverse = np.empty(n, np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     at = np.flatnonzero(new)
-    return s[at], inverse, np.diff(np.append(at, len(s)))
+    keys = packed[at]
+    if small:
+        keys = sum(used.astype(U)[(keys >> U(7 * j)) & U(127)] << U(8 * j) for j in range(6))
+    return keys, inverse, np.diff(np.append(at, n))
 
 
 def slots(keys: np.ndarray) -> list[np.ndarray]:
@@ -115,7 +137,7 @@ def bit_slots(hashes: list[np.ndarray], keys: np.ndarray, i: int) -> tuple[list[
     found = []
     for h, size, base in zip(hashes, SLOTS, BASE, strict=False):
         x = (h + node * U(0x9E3779B97F4A7C15)) * U(0xD6E8FEB86659FD93)
-        found.append((x >> U(64 - size.bit_length() + 1)).astype(np.int64) + base)
+        found.append((x >> U(64 - size.bit_length() + 1)).astype(np.int32) + np.int32(base))
     return found, ((cur >> (7 - i)) & 1).astype(np.float32)
 
 
@@ -138,7 +160,7 @@ class Mixer:
         return Mixer(np.full((8, GATES, len(ORDERS)), 0.3), apm)
 
     def mix(self, i: int, st: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        gate = (st[-1] != 0).astype(np.int8) + (st[-2] != 0) + (st[-3] != 0)
+        gate = (st[-1] != 0).astype(np.int8) + (st[-2] != 0).view(np.int8) + (st[-3] != 0).view(np.int8)
         w = self.weights[i].astype(np.float32)
         dot = np.zeros(len(gate), np.float32)
         for k, s in enumerate(st):
@@ -148,24 +170,26 @@ class Mixer:
     def refine(self, i: int, dot: np.ndarray) -> np.ndarray:
         """LEVELS x len(dot): probability of a one after the map, averaged with the mix."""
         where = (np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)
-        low = np.minimum(where.astype(np.int64), BUCKETS - 2)
-        part = where - low
+        low = np.minimum(where.astype(np.int32), BUCKETS - 2)
+        part = (where - low).astype(np.float32)
         table = (self.apm[:, i, :, 1] / self.apm[:, i].sum(axis=2)).astype(np.float32)
         mapped = table[:, low] * (1 - part) + table[:, low + 1] * part
         return np.clip((mapped + 1 / (1 + np.exp(-dot))) / 2, 1e-5, 1 - 1e-5)
 
 
 def levels(cost: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """By byte: how dear (bits a byte) its text has been before it; a prior counts as 16 bytes of 2.5."""
-    sizes = np.diff(offsets)
-    total = np.concatenate([[0.0], np.cumsum(cost, dtype=np.float64)])
-    spent = total[:-1] - np.repeat(total[offsets[:-1]], sizes)
-    place = np.arange(len(cost)) - np.repeat(offsets[:-1], sizes)
-    return np.searchsorted(LIMITS, (spent + 40) / (place + 16), "right").astype(np.int8)
+    """By byte: whether its text has been dear before it; a prior counts as 16 bytes of 2.5 bits."""
+    gap = cost.astype(np.float64) - DEAR
+    total = np.cumsum(gap)
+    total -= gap
+    return total - np.repeat(total[offsets[:-1]] - 16 * (2.5 - DEAR), np.diff(offsets)) > 0
+
 
+def evaluate(keys: np.ndarray, look, mixer: Mixer, refine: bool) -> tuple[np.ndarray, np.ndarray, list]:
+    """(bits of each key by the mix alone, by the refined mix at each level, what each bit saw).
 
-def evaluate(keys: np.ndarray, look, mixer: Mixer) -> tuple[np.ndarray, np.ndarray, list]:
-    """(bits of each key by the mix alone, by the mix refined at each level, what each bit saw)."""
+    The second is filled for `refine`, the third otherwise.
+    """
     hashes = slots(keys)
     plain = np.zeros(len(keys), np.float32)
     fine = np.zeros((LEVELS, len(keys)), np.float32)
@@ -174,11 +198,12 @@ def evaluate(keys: np.ndarray, look, mixer: Mixer) -> tuple[np.ndarray, np.ndarr
         at, bit = bit_slots(hashes, keys, i)
         st = [look(a) for a in at]
         dot, gate = mixer.mix(i, st)
-        sign = 1 - 2 * bit
-        plain += np.log1p(np.exp(dot * sign)) * np.float32(1.442695)
-        p = mixer.refine(i, dot)
-        fine -= np.log2(np.where(bit > 0, p, 1 - p))
-        seen.append((at, bit, st, dot, gate))
+        plain += np.log2(1 + np.exp(dot * (1 - 2 * bit)))
+        if refine:
+            p = mixer.refine(i, dot)
+            fine -= np.log2(np.where(bit > 0, p, 1 - p))
+        else:
+            seen.append((at, bit, st, dot, gate))
     return plain, fine, seen
 
 
@@ -186,41 +211,40 @@ class Learner:
     """One task's online pass."""
 
     def __init__(self) -> None:
-        self.n0, self.n1 = np.zeros(TOTAL, np.float32), np.zeros(TOTAL, np.float32)
+        self.n = np.zeros(2 * TOTAL, np.float32)
         self.mixer, self.steps, self.bytes = Mixer.fresh(), 0, 0
 
     def look(self, at: np.ndarray) -> np.ndarray:
-        return stretch_counts(self.n0[at], self.n1[at])
+        return stretch_counts(self.n[2 * at], self.n[2 * at + 1])
 
     def rate(self) -> float:
         return 0.3 / (1 + self.steps / 20)
 
     def learn(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        keys, inverse, counts = distinct(windows(data, offsets))
-        plain, _, seen = evaluate(keys, self.look, self.mixer)
-        level = levels(plain[inverse], offsets)
-        weight = np.bincount(level.astype(np.int64) * len(keys) + inverse, minlength=LEVELS * len(keys)).reshape(LEVELS, -1)
+        keys, inverse, counts = distinct(data, offsets)
+        plain, _, seen = evaluate(keys, self.look, self.mixer, False)
+        dear = np.bincount(inverse[levels(plain[inverse], offsets)], minlength=len(keys))
+        weight = ((counts - dear).astype(np.float32), dear.astype(np.float32))
+        counts = counts.astype(np.float32)
         self.steps += 1
         self.bytes += len(data)
         for i, (at, bit, st, dot, gate) in enumerate(seen):
-            # a few damped Newton steps by weight, each weight set on its own bits
+            # damped Newton steps by weight, each weight set on its own bits; more of them early on
             power = np.stack([np.bincount(gate, counts * s * s, GATES) for s in st], axis=1)
-            for _ in range(STEPS):
-                p = 1 / (1 + np.exp(-self.mixer.mix(i, st)[0]))
-                error, var = (bit - p) * counts, np.bincount(gate, counts * p * (1 - p), GATES) / np.maximum(np.bincount(gate, counts, GATES), 1)
+            mass = np.maximum(np.bincount(gate, counts, GATES), 1)
+            for turn in range(STEPS if self.steps <= 8 else 1):
+                p = 1 / (1 + np.exp(-(self.mixer.mix(i, st)[0] if turn else dot)))
+                error, var = (bit - p) * counts, np.bincount(gate, counts * p * (1 - p), GATES) / mass
                 push = np.stack([np.bincount(gate, error * s, GATES) for s in st], axis=1)
                 self.mixer.weights[i] += self.rate() * push / (power * var[:, None] + 50)
-            bucket = np.rint((np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)).astype(np.int64)
+            bucket = np.rint((np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)).astype(np.int64) * 2 + (bit > 0)
             for lv in range(LEVELS):
-                for b in (0, 1):
-                    self.mixer.apm[lv, i, :, b] += np.bincount(bucket, weight[lv] * (bit == b), BUCKETS)
+                self.mixer.apm[lv, i] += np.bincount(bucket, weight[lv], 2 * BUCKETS).reshape(BUCKETS, 2)
             for a in at:
-                # counts by slot, summed over equal slots of the chunk
-                np.add.at(self.n1, a, counts * bit)
-                np.add.at(self.n0, a, counts * (1 - bit))
+                np.add.at(self.n, 2 * a + (bit > 0), counts)
 
     def rows(self) -> Iterator[tuple[int, int, bytes]]:
-        both = np.stack([self.n0, self.n1], axis=1).astype("<f4")
+        both = self.n.reshape(-1, 2).astype("<f4", copy=False)
         for b in range(0, TOTAL, BLOCK):
             part = both[b : b + BLOCK]
             if part.any():
@@ -303,10 +327,9 @@ class Model:
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length of each row of canonical bytes."""
-        keys, inverse, _ = distinct(windows(data, offsets))
-        plain, fine, _ = evaluate(keys, self.look, self.mixer)
-        level = levels(plain[inverse], offsets)
-        cost = fine.ravel()[level.astype(np.int64) * len(keys) + inverse]
+        keys, inverse, _ = distinct(data, offsets)
+        plain, fine, _ = evaluate(keys, self.look, self.mixer, True)
+        cost = np.where(levels(plain[inverse], offsets), fine[1][inverse], fine[0][inverse])
         return np.add.reduceat(cost, offsets[:-1], dtype=np.float64)
 
     def score(self, batch: pa.RecordBatch) -> pa.RecordBatch:
