@@ -193,3 +193,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
     )
+
+
+def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that are kept, with their columns.
+
+    Rows that share a doc_id and are kept all stay: they are one document.
+    """
+    gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
