@@ -1,7 +1,7 @@
 """Language-model scoring by online logistic context mixing.
 
 The text is normalised (A-Z lower-cased, words joined by one space, a line feed
-as its end) and predicted bit by bit.  Hashed contexts of the last 1 to 5 bytes
+as its end) and predicted bit by bit.  Hashed contexts of the last 2 to 5 bytes
 each keep bit counts; their stretched predictions are combined by logistic mixing,
 the weight set gated by the bit's place and by how many of the long contexts were seen;
 the mix is refined by an adaptive probability map chosen by what the text has cost
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .common import cut, map_batches
 
-ORDERS = (1, 2, 3, 4, 5)
-SLOTS = (1 << 16, 1 << 18, 1 << 19, 1 << 20, 1 << 21)
+ORDERS = (2, 3, 4, 5)
+SLOTS = (1 << 18, 1 << 19, 1 << 20, 1 << 21)
 BASE = np.concatenate([[0], np.cumsum(SLOTS)]).astype(np.int64)
 TOTAL = int(BASE[-1])
 BLOCK = 1 << 14
@@ -131,14 +131,13 @@ def slots(keys: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def bit_slots(hashes: list[np.ndarray], keys: np.ndarray, i: int) -> tuple[list[np.ndarray], np.ndarray]:
-    cur = (keys & U(255)).astype(np.int64)
-    node = ((1 << i) | (cur >> (8 - i))).astype(U)
-    found = []
+def bit_slots(hashes: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
+    """By order: the table slot of each (context, node of the bit tree)."""
+    spread, found = node * U(0x9E3779B97F4A7C15), []
     for h, size, base in zip(hashes, SLOTS, BASE, strict=False):
-        x = (h + node * U(0x9E3779B97F4A7C15)) * U(0xD6E8FEB86659FD93)
+        x = (h + spread) * U(0xD6E8FEB86659FD93)
         found.append((x >> U(64 - size.bit_length() + 1)).astype(np.int32) + np.int32(base))
-    return found, ((cur >> (7 - i)) & 1).astype(np.float32)
+    return found
 
 
 def stretch_counts(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -185,26 +184,30 @@ def levels(cost: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total - np.repeat(total[offsets[:-1]] - 16 * (2.5 - DEAR), np.diff(offsets)) > 0
 
 
-def evaluate(keys: np.ndarray, look, mixer: Mixer, refine: bool) -> tuple[np.ndarray, np.ndarray, list]:
-    """(bits of each key by the mix alone, by the refined mix at each level, what each bit saw).
+def evaluate(keys: np.ndarray, look, mixer: Mixer) -> Iterator[tuple]:
+    """By bit of the keys' last byte, for each distinct (history, bits so far): what predicts it.
 
-    The second is filled for `refine`, the third otherwise.
+    Sorted keys with one history and the same first bits are neighbours: they share one
+    prediction.  Yields (slots, stretched predictions, mix, gate, where each share starts,
+    the share of each key, the keys' bit).
     """
     hashes = slots(keys)
-    plain = np.zeros(len(keys), np.float32)
-    fine = np.zeros((LEVELS, len(keys)), np.float32)
-    seen = []
     for i in range(8):
-        at, bit = bit_slots(hashes, keys, i)
+        prefix = keys >> U(8 - i)
+        new = np.empty(len(keys), bool)
+        new[0] = True
+        np.not_equal(prefix[1:], prefix[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        node = (prefix[first] & U((1 << i) - 1)) | U(1 << i)
+        at = bit_slots([h[first] for h in hashes], node)
         st = [look(a) for a in at]
-        dot, gate = mixer.mix(i, st)
-        plain += np.log2(1 + np.exp(dot * (1 - 2 * bit)))
-        if refine:
-            p = mixer.refine(i, dot)
-            fine -= np.log2(np.where(bit > 0, p, 1 - p))
-        else:
-            seen.append((at, bit, st, dot, gate))
-    return plain, fine, seen
+        yield at, st, *mixer.mix(i, st), first, np.cumsum(new, dtype=np.int32) - np.int32(1), (keys >> U(7 - i)).astype(np.uint8) & np.uint8(1)
+
+
+def plain_bits(dot: np.ndarray, share: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Bits that each key's bit costs by the mix: log2(1 + e^-dot) for a one, that and dot for a zero."""
+    one = np.log2(1 + np.exp(-dot))
+    return np.where(bit, one[share], (one + dot * np.float32(1.442695))[share])
 
 
 class Learner:
@@ -215,33 +218,39 @@ class Learner:
         self.mixer, self.steps, self.bytes = Mixer.fresh(), 0, 0
 
     def look(self, at: np.ndarray) -> np.ndarray:
-        return stretch_counts(self.n[2 * at], self.n[2 * at + 1])
+        both = self.n.view(np.complex64)[at]
+        return stretch_counts(both.real, both.imag)
 
     def rate(self) -> float:
         return 0.3 / (1 + self.steps / 20)
 
     def learn(self, data: np.ndarray, offsets: np.ndarray) -> None:
         keys, inverse, counts = distinct(data, offsets)
-        plain, _, seen = evaluate(keys, self.look, self.mixer, False)
-        dear = np.bincount(inverse[levels(plain[inverse], offsets)], minlength=len(keys))
-        weight = ((counts - dear).astype(np.float32), dear.astype(np.float32))
         counts = counts.astype(np.float32)
         self.steps += 1
         self.bytes += len(data)
-        for i, (at, bit, st, dot, gate) in enumerate(seen):
+        plain, marks = np.zeros(len(keys), np.float32), []
+        for i, (at, st, dot, gate, first, share, bit) in enumerate(evaluate(keys, self.look, self.mixer)):
+            plain += plain_bits(dot, share, bit)
+            bucket = (np.rint((np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)) * 2).astype(np.uint8)
+            marks.append(bucket[share] + bit)
+            both = np.add.reduceat(counts, first)
+            ones = np.add.reduceat(counts * bit, first)
             # damped Newton steps by weight, each weight set on its own bits; more of them early on
-            power = np.stack([np.bincount(gate, counts * s * s, GATES) for s in st], axis=1)
-            mass = np.maximum(np.bincount(gate, counts, GATES), 1)
+            sides = (gate[:, None] == np.arange(GATES, dtype=np.int8)).astype(np.float32)
+            seen = np.stack(st)
+            power, mass = ((seen * seen) * both) @ sides, np.maximum(both @ sides, 1)
             for turn in range(STEPS if self.steps <= 8 else 1):
                 p = 1 / (1 + np.exp(-(self.mixer.mix(i, st)[0] if turn else dot)))
-                error, var = (bit - p) * counts, np.bincount(gate, counts * p * (1 - p), GATES) / mass
-                push = np.stack([np.bincount(gate, error * s, GATES) for s in st], axis=1)
-                self.mixer.weights[i] += self.rate() * push / (power * var[:, None] + 50)
-            bucket = np.rint((np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)).astype(np.int64) * 2 + (bit > 0)
-            for lv in range(LEVELS):
-                self.mixer.apm[lv, i] += np.bincount(bucket, weight[lv], 2 * BUCKETS).reshape(BUCKETS, 2)
+                push, var = seen @ ((ones - p * both)[:, None] * sides), ((both * p * (1 - p)) @ sides) / mass
+                self.mixer.weights[i] += (self.rate() * push / (power * var + 50)).T
             for a in at:
-                np.add.at(self.n, 2 * a + (bit > 0), counts)
+                np.add.at(self.n, 2 * a, both - ones)
+                np.add.at(self.n, 2 * a + 1, ones)
+        dear = np.bincount(inverse[levels(plain[inverse], offsets)], minlength=len(keys))
+        for lv, weight in enumerate((counts - dear, dear)):
+            for i, bucket in enumerate(marks):
+                self.mixer.apm[lv, i] += np.bincount(bucket, weight, 2 * BUCKETS).reshape(BUCKETS, 2)
 
     def rows(self) -> Iterator[tuple[int, int, bytes]]:
         both = self.n.reshape(-1, 2).astype("<f4", copy=False)
@@ -252,11 +261,21 @@ class Learner:
         yield 2, 0, np.concatenate([[self.bytes], self.mixer.weights.ravel() * self.bytes, self.mixer.apm.ravel()]).astype("<f8").tobytes()
 
 
+def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[: len(keys)]
+    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
+
+
 def _word_counts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     data, offsets, _ = K.buffers(batch.column("text"))
-    parts = [K.word_hashes(K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])) for a, b in K.chunks(offsets)]
-    keys, counts = np.unique(np.concatenate(parts).view(np.int64), return_counts=True)
-    return keys, counts.astype(np.int64)
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for a, b in K.chunks(offsets):
+        h = np.sort(K.word_hashes(K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])).view(np.int64))
+        k, c = _merge(h, np.ones(len(h), np.int64))
+        keys, counts = _merge(np.concatenate([keys, k]), np.concatenate([counts, c]))
+    return keys, counts
 
 
 OUT = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
@@ -328,7 +347,12 @@ class Model:
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length of each row of canonical bytes."""
         keys, inverse, _ = distinct(data, offsets)
-        plain, fine, _ = evaluate(keys, self.look, self.mixer, True)
+        plain, fine = np.zeros(len(keys), np.float32), np.zeros((LEVELS, len(keys)), np.float32)
+        for i, (_, _, dot, _, _, share, bit) in enumerate(evaluate(keys, self.look, self.mixer)):
+            plain += plain_bits(dot, share, bit)
+            p = self.mixer.refine(i, dot)
+            for lv in range(LEVELS):
+                fine[lv] -= np.where(bit, np.log2(p[lv])[share], np.log2(1 - p[lv])[share])
         cost = np.where(levels(plain[inverse], offsets), fine[1][inverse], fine[0][inverse])
         return np.add.reduceat(cost, offsets[:-1], dtype=np.float64)
 
@@ -338,7 +362,10 @@ class Model:
         for a, b in K.chunks(offsets, CHUNK):
             w = K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             h, n = K.word_hashes(w).view(np.int64), w.counts
-            at = np.minimum(np.searchsorted(self.head, h), max(0, len(self.head) - 1))
+            # sorted look-ups stay in cache
+            order = np.argsort(h)
+            at = np.empty(len(h), np.int64)
+            at[order] = np.minimum(np.searchsorted(self.head, h[order]), max(0, len(self.head) - 1))
             known = self.head[at] == h if len(self.head) else np.zeros(len(h), bool)
             c = np.where(known, self.head_counts[at], 0) if len(self.head) else np.zeros(len(h))
             total = np.concatenate([[0.0], np.cumsum(np.where(known, np.log10(c + 1.0), 0))])
