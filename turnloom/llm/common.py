@@ -2,54 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tables import cut, shared_dir
+
+__all__ = ["GAP", "WORD", "crc_mod", "cut", "documents", "map_batches", "row_key", "shared_dir"]
+
 #: Java regex of one word, and of what lies between words.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if at.isDefined():
-            return at.get()
-        found = f"file://{tempfile.mkdtemp(prefix='turnloom-')}"
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as a Parquet table in the shared folder and read it back.
-
-    Later stages then neither recompute it nor lose it with an executor, and the
-    planner knows its true size.  The table goes when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "lz4").parquet(path)
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.parquet(path)
-
-
 def crc_mod(col: Column, m: int) -> Column:
     """crc32 of the id's decimal text, modulo m; null for a null id."""
     return F.crc32(col.cast("string").cast("binary")) % F.lit(m)
 
 
-def letters_lower(col: Column) -> Column:
-    """Lower-case A-Z alone."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def row_key(*columns: str) -> dict[str, Column]:
+    """Two columns, 128 bits, that identify a row by these columns, nulls told apart."""
+    cols = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return {"__k1": F.xxhash64(F.lit(1), *cols), "__k2": F.xxhash64(F.lit(2), *cols)}
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import GAP, WORD, cut
+from .common import GAP, WORD, cut, row_key
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -152,7 +152,12 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are kept, with their columns."""
-    measured = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "doc_id", "text", "lang").transform(measure).drop("text"), "measured")
-    out = verdicts(measured, cutoffs(measured.drop("__row"), labels))
-    return out.where("kept").select("__row.*")
+    """The rows of docs that are kept, with their columns.
+
+    Only slim rows are written; the texts go through one exchange, against the keys of what
+    is rejected (a row's key is 128 bits of its id, text and language).
+    """
+    keys = row_key("doc_id", "text", "lang")
+    measured = cut(measure(docs.select("doc_id", "text", "lang").withColumns(keys)).drop("text"), "measured")
+    gone = verdicts(measured, cutoffs(measured, labels)).where("not kept").select(*keys).distinct()
+    return docs.withColumns(keys).join(gone.hint("shuffle_hash"), list(keys), "left_anti").select(*docs.columns)

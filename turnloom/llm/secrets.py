@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, row_key
 
 SCOPE = 256
 SUM_BLOCK = 64
@@ -128,10 +128,17 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every reported span of the text replaced by `mark`; overlapping spans become one."""
-    scanned = cut(scan(docs), "scanned")
-    out = scanned.join(link(scanned), "__uid", "left")
+    """docs with every reported span of the text replaced by `mark`; overlapping spans become one.
+
+    Only spans are written; the texts go through one exchange, against the rows that
+    have spans (a row's key is 128 bits of its id and text).
+    """
+    keys = row_key("doc_id", "text")
+    scanned = cut(scan(docs.select("doc_id", "text").withColumns(keys)).drop("text"), "scanned")
     every = F.array_sort(F.concat("__certain", F.coalesce("__linked", F.array().cast(SPAN))))
+    found = scanned.join(link(scanned), "__uid", "left").withColumn("__spans", every).where(F.size("__spans") > 0)
+    found = found.select(*keys, "__spans").dropDuplicates(list(keys))
+    every = F.col("__spans")
 
     def merge(done: Column, s: Column) -> Column:
         last = F.element_at(done, -1)
@@ -143,8 +150,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.concat(F.array_join(F.transform(m, piece), ""), F.substring(F.col("text"), F.element_at(m, -1)["end"] + 1, F.length("text")))
 
     merged = F.aggregate(every, F.array().cast(SPAN), merge)
-    text = F.when(F.size(every) > 0, _let(merged, rebuild)).otherwise(F.col("text"))
-    return out.withColumn("text", text).select(*docs.columns)
+    out = docs.withColumns(keys).join(found.hint("shuffle_hash"), list(keys), "left")
+    return out.withColumn("text", F.when(every.isNotNull(), _let(merged, rebuild)).otherwise(F.col("text"))).select(*docs.columns)
 
 
 def _between(a: Column, b: Column) -> Column:
