@@ -16,8 +16,9 @@ in part, so that a source meets its target to the word.  No document is taken mo
 than `max_repeats` times its size.
 
 Scale: running sums never gather a source in one task.  Documents fall by hash into
-about rows / `RUN` runs a source; runs are summed first (before the shuffle), the sums
-get a window by source, and only the documents of one run meet in one window.
+about sqrt(rows) runs a source; runs are summed first (before the shuffle), the sums
+get a window by source, and only the documents of one run meet in one window: neither
+window holds more than about sqrt(rows) rows of a source.
 
 Defined results: null or blank text has size 0 and is taken 0 words; sources are in
 code-point order with null last and weigh 5, 2, 1 in turn; repeated rows are each
@@ -35,7 +36,6 @@ from .common import WORD, cut
 
 CYCLE = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
-RUN = 2000
 
 
 def words(text: Column) -> Column:
@@ -112,7 +112,7 @@ def curriculum(docs: DataFrame, schedules: dict[str | None, list[tuple[float, fl
     by_source = cut(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), "sources")
     plan = targets(by_source.select("source", "source_size"), cycle, max_repeats)
     total_rows = by_source.agg(F.sum("rows")).first()[0] or 0
-    runs = 1 << max(0, (total_rows // RUN).bit_length())
+    runs = 1 << ((total_rows.bit_length() + 1) // 2)
     run = F.pmod(F.shiftrightunsigned(place, 20), F.lit(runs)).cast("int")
     dealt = base.withColumns({"__s": F.col("source").cast("string"), "__run": run, "__place": place})
     sums = dealt.groupBy("__s", "__run").agg(F.sum("size").alias("n"))
