@@ -84,3 +84,16 @@ def spans_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts:
         out = out.unionByName(p)
     return out
+
+
+def with_injected_faults(spans: DataFrame) -> DataFrame:
+    """The exchange family with replicas and gaps: a respaced entry replica (c % 5 = 0), a second, different
+    answer (c % 7 = 0), entries removed (c % 11 = 0)."""
+    conv = F.substring("session_id", 2, 20).cast("bigint")
+    entry, leave = F.col("span_id").startswith("in-"), F.col("span_id").startswith("out-")
+    own = spans.where((conv % 6 == 0) & (F.col("agent_id") == AGENT))
+    kept = own.where(~(entry & (conv % 11 == 0)))
+    # spaces within the texts alone: the JSON itself has none
+    respaced = kept.where(entry & (conv % 5 == 0)).withColumns({"input_text": F.replace("input_text", F.lit(" "), F.lit("  ")), "span_id": F.concat(F.lit("twin-"), "span_id"), "start_time_ns": F.col("start_time_ns") + 10})
+    changed = kept.where(leave & (conv % 7 == 0)).withColumns({"output_text": F.regexp_replace("output_text", '"value":"', '"value":"changed '), "span_id": F.concat(F.lit("twin-"), "span_id")})
+    return kept.unionByName(respaced).unionByName(changed)

@@ -40,7 +40,20 @@ def _residue() -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
 
 _ONE, _MANY = _residue()
 _PAIRS = json.dumps([{"a": a, "b": b} for a, b in _MANY])
-_SPECIAL = "[" + "".join(f"\\x{{{ord(a):x}}}" for a, _ in _ONE + _MANY) + "]"
+
+
+def _ranges(points: list[int]) -> str:
+    """A character class of the code points, neighbours as ranges."""
+    out: list[list[int]] = []
+    for p in sorted(points):
+        if out and p == out[-1][1] + 1:
+            out[-1][1] = p
+        else:
+            out.append([p, p])
+    return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in out) + "]"
+
+
+_SPECIAL = _ranges([ord(a) for a, _ in _ONE + _MANY])
 
 
 def casefold(c: Column) -> Column:

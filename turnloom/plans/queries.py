@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixtures import AGENT, spans_from_conversations
+from ..fixtures import AGENT, spans_from_conversations, with_injected_faults
+from ..functions.ladders import asks, has_label, joined, replies, request, response
 from ..functions.text import semantic
 from ..operators import lineage
 from ..operators.project import flat, pack, repeated_answers
@@ -96,6 +97,33 @@ def q_pair_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extraction(spark, sf_dir).exchange_pairs.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
+def q_request_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _extraction(spark, sf_dir).decoded.where("pin is not null").withColumn("q", request(F.col("pin")))
+    return rows.select("span", F.col("q.text").alias("text"), F.col("q.path").alias("path"))
+
+
+def q_response_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _extraction(spark, sf_dir).decoded.where("pout is not null").withColumn("r", response(F.col("pout")))
+    return rows.select("span", F.col("r.text").alias("text"), F.col("r.path").alias("path"))
+
+
+def q_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each exchange span carries: paths, acts, parts, label and joined text."""
+    rows = _extraction(spark, sf_dir).exchange_rows
+    none = F.lit("")
+    return rows.select(
+        "span", F.coalesce("inc_path", none).alias("in_path"), F.coalesce("out_path", none).alias("out_path"), asks(F.col("inc")).alias("asks"), replies(F.col("out")).alias("replies"),
+        F.coalesce(F.size("inc.parts"), F.lit(0)).cast("bigint").alias("n_in"), F.coalesce(F.size("out.parts"), F.lit(0)).cast("bigint").alias("n_out"), has_label(F.col("out.parts")).alias("labelled"), joined(F.col("inc.parts")).alias("said"),
+    )
+
+
+def q_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a fixture with replicas, conflicts and gaps."""
+    x = extract_turns(with_injected_faults(spans_from_conversations(spark, sf_dir)), Config(AGENT))
+    n = lambda side: F.coalesce(F.col(f"{side}.replicas"), F.lit(0)).alias(f"n_{side}")
+    return x.exchange_pairs.select("turn_id", "outcome", n("e"), n("x"), F.coalesce("e.input_query", F.lit("")).alias("input_query"), F.coalesce("x.conflicts", F.lit("")).alias("conflicts"))
+
+
 def q_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extraction(spark, sf_dir).issues.select("issue_code", "severity", "turn_id", "trace_id", "span_id", "details")
 
@@ -206,6 +234,27 @@ ORACLES: dict[str, str] = {
     "q_counterparts": f"{PAIRS} SELECT 'user' AS party, count(DISTINCT c) AS conversations FROM p WHERE f = 0 HAVING count(*) > 0",
     "q_exchange_entries": f"{PAIRS} SELECT 'c' || c AS conversation, 'r' || k AS request, 's' || c AS session, 't-' || key AS trace, 'in-' || key AS span, text AS input_query, label AS route_label, 'd' || k AS downstream, 'complete' AS state FROM p WHERE f = 0",
     "q_exchange_exits": f"{PAIRS} SELECT 'c' || c AS conversation, 'r' || k AS request, 's' || c AS session, CASE WHEN k % 4 = 0 THEN 'x-' ELSE 't-' END || key AS trace, 'out-' || key AS span, ans AS agent_response, 'd' || k AS returned, 'complete' AS state FROM p WHERE f = 0 AND ans IS NOT NULL",
+    "q_request_text": f"""{PAIRS} SELECT span, text, path FROM (
+        SELECT 'in-' || key AS span, '' AS text, '' AS path FROM p WHERE f = 0 UNION ALL SELECT 'out-' || key, '', '' FROM p WHERE f = 0 AND ans IS NOT NULL
+        UNION ALL SELECT 'http-' || key, text, 'input_text.body.query' FROM p WHERE f = 1 UNION ALL SELECT 'agent-' || key, '', '' FROM p WHERE f = 2
+        UNION ALL SELECT 'edge-' || key, '', '' FROM p WHERE f = 3 UNION ALL SELECT 'agent-' || key, label || ' ' || text, 'input_text.query' FROM p WHERE f = 3
+        UNION ALL SELECT 'agent-' || key, 'alpha ' || text, 'input_text.query' FROM p WHERE f = 4)""",
+    "q_response_text": f"""{PAIRS} SELECT span, text, path FROM (
+        SELECT 'in-' || key AS span, '' AS text, '' AS path FROM p WHERE f = 0 UNION ALL SELECT 'out-' || key, '', '' FROM p WHERE f = 0 AND ans IS NOT NULL
+        UNION ALL SELECT 'http-' || key, coalesce(ans, ''), CASE WHEN ans IS NULL THEN '' ELSE 'output_text.response.body.answer' END FROM p WHERE f = 1
+        UNION ALL SELECT 'agent-' || key, '', '' FROM p WHERE f IN (2, 3, 4) UNION ALL SELECT 'edge-' || key, '', '' FROM p WHERE f = 3
+        UNION ALL SELECT 'model-' || key, '', '' FROM p WHERE f = 4 AND ans IS NOT NULL
+        UNION ALL SELECT 'plan-' || key, coalesce(ans, '...'), 'output_text.message_to_user' FROM p WHERE f = 5
+        UNION ALL SELECT 'state-' || key, ans, 'output_text.message_to_user' FROM p WHERE f = 5 AND ans IS NOT NULL)""",
+    "q_envelopes": f"""{PAIRS} SELECT * FROM (
+        SELECT 'in-' || key AS span, 'input_text.message' AS in_path, 'output_text.outgoing' AS out_path, true AS asks, false AS replies, 1::BIGINT AS n_in, 2::BIGINT AS n_out, true AS labelled, text AS said FROM p WHERE f = 0
+        UNION ALL SELECT 'out-' || key, 'input_text.incoming', 'output_text.outgoing', false, true, 1, 1, false, ans FROM p WHERE f = 0 AND ans IS NOT NULL
+        UNION ALL SELECT 'edge-' || key, 'input_text.message', 'output_text.outgoing', false, false, 2, (ans IS NOT NULL)::BIGINT, false, label || chr(10) || chr(10) || text FROM p WHERE f = 3)""",
+    "q_replicas": f"""{PAIRS} SELECT 'c' || c || '|r' || k AS turn_id,
+            CASE WHEN ans IS NOT NULL AND c % 7 = 0 THEN 'conflict' WHEN c % 11 = 0 THEN 'exit_without_entry' WHEN ans IS NULL THEN 'entry_without_exit' ELSE 'turn' END AS outcome,
+            CASE WHEN c % 11 = 0 THEN 0 WHEN c % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS n_e, CASE WHEN ans IS NULL THEN 0 WHEN c % 7 = 0 THEN 2 ELSE 1 END::BIGINT AS n_x,
+            CASE WHEN c % 11 = 0 THEN '' ELSE text END AS input_query, CASE WHEN ans IS NOT NULL AND c % 7 = 0 THEN 'agent_response' ELSE '' END AS conflicts
+        FROM p WHERE f = 0 AND NOT (c % 11 = 0 AND ans IS NULL)""",
     "q_pair_outcomes": f"{PAIRS} SELECT CASE WHEN ans IS NULL THEN 'entry_without_exit' ELSE 'turn' END AS outcome, count(*) AS n FROM p WHERE f = 0 GROUP BY 1",
     "q_issues": f"{PAIRS}, {_ISSUES} SELECT issue_code, severity, turn_id, trace_id, span_id, details FROM issues",
     "q_issue_summary": f"{PAIRS}, {_ISSUES} SELECT issue_code, count(*) AS n FROM issues GROUP BY 1",
