@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from turnloom.llm.decontam import contamination, item_windows, remove_contaminated
@@ -55,14 +56,17 @@ def test_real_documents(spark):
     assert any(r[4] for r in got.values())
 
 
-def test_removal(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_removal(spark, limit):
     docs, bench = spark.createDataFrame(rows(), SCHEMA), spark.createDataFrame(ITEMS, "item_id bigint, text string")
     docs = docs.withColumn("n_words", F.lit("own"))
-    left = remove_contaminated(docs, bench)
+    left = remove_contaminated(docs, bench, mode="documents", max_windows=limit)
     assert left.columns == docs.columns
     assert left.count() == sum(not brute(r[1], ITEMS)[4] for r in rows())
-    cut = {r["doc_id"]: r["text"] for r in remove_contaminated(docs, bench, mode="spans").where("doc_id >= 50").collect()}
-    assert cut[50] == "x  y" and cut[51] == "cat sat on the mat" and cut[54] == ""
+    texts = {r["doc_id"]: r["text"] for r in remove_contaminated(docs, bench, mode="spans", max_windows=limit).where("doc_id >= 50").collect()}
+    assert texts[50] == "x  y" and texts[51] == "cat sat on the mat" and texts[54] == ""
+    both = remove_contaminated(docs, bench, max_windows=limit).where("doc_id >= 50").collect()
+    assert {r["doc_id"]: r["text"] for r in both} == {51: texts[51], 53: "b0 b1  " + "pad " * 100}
 
 
 def test_empty_tables(spark):

@@ -142,29 +142,38 @@ class _Scanner:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (words, hits, np.array(n_items, np.int64), sha, flag))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     def spans(self, batch: pa.RecordBatch) -> pa.RecordBatch:
-        """The batch with its texts cut: every word interval that is hit goes, with the gap before it."""
-        data, offsets, null = K.buffers(batch.column("text"))
-        out: list[bytes | None] = []
+        """The batch with its texts cut: every word interval that is hit goes."""
+        data, offsets, _ = K.buffers(batch.column("text"))
+        at: list[list[tuple[int, int]]] = []
         for a, b in K.chunks(offsets):
-            raw, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            w, starts, ends, items = self.scan(raw, o)
+            w, starts, ends, items = self.scan(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             for r in range(b - a):
-                text = raw[o[r] : o[r + 1]].tobytes()
-                if r in items:
-                    mine = (starts >= w.first[r]) & (starts < w.first[r + 1])
-                    for s, e in _merged(starts[mine], ends[mine])[::-1]:
-                        text = text[: w.starts[s] - o[r]] + text[w.ends[e - 1] - o[r] :]
-                out.append(None if null[a + r] else text)
-        at = batch.schema.get_field_index("text")
-        return batch.set_column(at, "text", pa.array(out, pa.binary()).cast(batch.schema.field(at).type))
+                mine = (starts >= w.first[r]) & (starts < w.first[r + 1]) if r in items else slice(0, 0)
+                at.append([(int(s - w.first[r]), int(e - w.first[r])) for s, e in zip(starts[mine], ends[mine], strict=True)])
+        return _without(batch, at)
+
+
+def _without(batch: pa.RecordBatch, at: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    """The batch with the word intervals `at` of each row cut out of its text."""
+    data, offsets, null = K.buffers(batch.column("text"))
+    out: list[bytes | None] = []
+    for i, hits in enumerate(at):
+        text = data[offsets[i] : offsets[i + 1]].tobytes()
+        if hits:
+            w, _ = _words(data[offsets[i] : offsets[i + 1]], np.array([0, len(text)]))
+            for s, e in _merged(hits)[::-1]:
+                text = text[: w.starts[s]] + text[w.ends[e - 1] :]
+        out.append(None if null[i] else text)
+    place = batch.schema.get_field_index("text")
+    return batch.set_column(place, "text", pa.array(out, pa.binary()).cast(batch.schema.field(place).type))
 
 
 NO_ITEMS = _items_sha(set())
 
 
-def _merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for s, e in sorted(zip(starts.tolist(), ends.tolist(), strict=True)):
+    for s, e in sorted(hits):
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
@@ -186,11 +195,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows
     windows = cut(item_windows(benchmark, n), "windows")
     if windows.count() <= max_windows:
         return map_batches(docs, _scanner(docs.sparkSession, windows).report, SCHEMA)
-    return _joined(docs, windows)
+    return _joined(cut(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered"), windows)[0].drop("uid")
 
 
-def _joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """The same result with the window table kept distributed behind a Bloom bitmap."""
+def _joined(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the same result with uid, hits) of docs (uid, doc_id, text), the windows kept distributed behind a Bloom bitmap."""
     spark = docs.sparkSession
     mask = BLOOM_BITS - 1
     bits = np.zeros(BLOOM_BITS // 8, np.uint8)
@@ -221,7 +230,6 @@ def _joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
         n = np.concatenate([_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[0].counts for a, b in K.chunks(offsets)])
         return pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), pa.array(n)], names=["uid", "doc_id", "n_words"])
 
-    docs = cut(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered")
     found = map_batches(docs.select("uid", "text"), candidates, "uid bigint, at bigint, hash bigint, size int, phrase binary")
     hits = cut(found.join(windows, ["hash", "size", "phrase"]).select("uid", "at", "size", "items"), "hits")
     spot = hits.select("uid", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("word")).distinct()
@@ -231,30 +239,46 @@ def _joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
     base = map_batches(docs, count, "uid bigint, doc_id bigint, n_words bigint")
     out = base.join(n_hit, "uid", "left").join(items, "uid", "left")
     hit = F.coalesce("n_hit", F.lit(0))
-    return out.select("doc_id", "n_words", hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("sha", F.lit(NO_ITEMS)).alias("items_sha256"), ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"))
+    flag = (hit > 0) & (20 * hit >= F.col("n_words"))
+    report = out.select("uid", "doc_id", "n_words", hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("sha", F.lit(NO_ITEMS)).alias("items_sha256"), flag.alias("contaminated"))
+    return report, hits
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, mode: str = "documents") -> DataFrame:
-    """docs without contaminated documents (mode "documents") or with the hit word spans cut out ("spans").
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, mode: str = "both", max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """docs without what the benchmark holds; all columns as they came, in their order.
 
-    A document is contaminated when a hit word is found and hit words are 5 % of its words
-    or more.  All columns of docs are returned as they came, in their order.
+    A document is contaminated when words are hit and they are 5 % of its words or more.  Mode
+    "documents" drops contaminated documents, "spans" cuts every hit word interval out
+    of its text, "both" drops the contaminated and cuts what is hit in the others.
     """
-    if mode not in ("documents", "spans"):
-        raise ValueError(f"mode is documents or spans, not {mode!r}")
+    if mode not in ("documents", "spans", "both"):
+        raise ValueError(f"mode is documents, spans or both, not {mode!r}")
     windows = cut(item_windows(benchmark, n), "windows")
-    if windows.count() > MAX_WINDOWS:
-        if mode == "spans":
-            raise ValueError("cutting spans needs a benchmark of at most MAX_WINDOWS windows")
-        numbered = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
-        bad = _joined(numbered.select(F.col("__uid").alias("doc_id"), F.col("text").cast("string").alias("text")), windows).where("contaminated").select(F.col("doc_id").alias("__uid"))
-        return numbered.join(bad, "__uid", "left_anti").drop("__uid")
+    if windows.count() > max_windows:
+        return _remove_joined(docs, windows, mode)
     scanner = _scanner(docs.sparkSession, windows)
-    if mode == "spans":
-        return map_batches(docs, scanner.spans, docs.schema)
 
-    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        slim = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], names=["doc_id", "text"])
-        return batch.filter(pa.compute.invert(scanner.report(slim).column("contaminated")))
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if mode != "spans":
+            slim = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], names=["doc_id", "text"])
+            batch = batch.filter(pa.compute.invert(scanner.report(slim).column("contaminated")))
+        return scanner.spans(batch) if mode != "documents" and batch.num_rows else batch
+
+    return map_batches(docs, clean, docs.schema)
+
+
+def _remove_joined(docs: DataFrame, windows: DataFrame, mode: str) -> DataFrame:
+    numbered = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
+    report, hits = _joined(numbered.select(F.col("__uid").alias("uid"), F.lit(None).cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), windows)
+    if mode != "spans":
+        numbered = numbered.join(report.where("contaminated").select(F.col("uid").alias("__uid")), "__uid", "left_anti")
+    if mode == "documents":
+        return numbered.select(*docs.columns)
+    at = hits.groupBy(F.col("uid").alias("__uid")).agg(F.collect_set(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e"))).alias("__at"))
+    numbered = numbered.join(at, "__uid", "left").select(*docs.columns, "__at")
+
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        where = [[(x["s"], x["e"]) for x in r or ()] for r in batch.column("__at").to_pylist()]
+        return _without(batch.drop_columns(["__at"]), where)
 
-    return map_batches(docs, keep, docs.schema)
+    return map_batches(numbered, clean, docs.schema)
