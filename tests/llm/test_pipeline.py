@@ -1,9 +1,12 @@
 """Each stage against its plain version, on the rows its predecessor kept."""
 
 import corpus_pipeline as P
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from turnloom.llm.common import cut
+from turnloom.llm.queries import ORACLES, QUERIES
 
 from .cases import SF, similar_components
 from .test_decontam import brute as leak
@@ -42,3 +45,14 @@ def test_stages(spark):
     assert {r["doc_id"] for r in mixed} == set(left) and abs(sum(r["taken"] for r in mixed) - sum(r["size"] for r in mixed)) < 30
     whole = P.run(spark, SF)
     assert whole.agg(F.sum("taken")).first()[0] == sum(r["taken"] for r in mixed)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracles(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = QUERIES[name](spark, SF)
+    columns = sorted(df.columns)
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
+    assert sorted(map(repr, map(tuple, df.select(*columns).collect()))) == sorted(map(repr, want))
