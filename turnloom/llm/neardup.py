@@ -91,15 +91,18 @@ def _full_sets(k: int):
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): connected components of the edges by large-star and small-star rounds.
 
-    Each half round is a minimum per node (combined before the shuffle) joined back
-    to the edges; it stops when the edges are stars round their least ids.
+    Each half round is a minimum per node (combined before the shuffle), written and
+    joined back to the edges: as both sides of that join are shuffled for it alone, the
+    edges of a node with very many neighbours can be split.  It stops when the edges are
+    stars round their least ids.
     """
     edges = cut(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo <> hi").distinct(), "edges")
     while True:
         both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(edges.select("hi", "lo"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo <> hi").distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        large = cut(large, "edges")
+        least = cut(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         joined = large.join(least, "hi")
         small = joined.select(F.col("m").alias("lo"), "hi").union(joined.select("m", F.col("lo").alias("hi"))).where("lo <> hi").distinct()
         fresh = cut(small, "edges")
