@@ -12,7 +12,8 @@ Scale: turns are range-sorted by (conversation, turn), so that a conversation of
 length is dealt over partitions.  A stretch of turns acts on the automaton as a
 4 x 4 min-plus matrix; each partition reports the matrices of its first and last
 conversation only, these few are chained on the driver, and each partition then
-decodes its own turns between known states.  No conversation is ever gathered.
+decodes its own turns between known states, one conversation's stretch at a time.  No
+conversation is ever gathered.
 
 One row per input turn: its action, its role after repair, what is inserted before
 or appended after it, its cost, and its fragment; the rendered conversation is the
@@ -43,6 +44,7 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 ALIAS_FREE = {"human": USER, "prompter": USER, "gpt": ASSISTANT, "bot": ASSISTANT, "model": ASSISTANT, "ai": ASSISTANT, "developer": SYSTEM}
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 INF = 1 << 40
+OUT_ROWS = 5000
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -222,23 +224,31 @@ def _bounds(rows: list) -> dict[int, dict[str, tuple[int, int | None]]]:
 def _decoder(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = shared.value.get(TaskContext.get().partitionId(), {})
-        table = pa.Table.from_batches(list(batches)) if mine else None
-        if table is None or not table.num_rows:
-            return
-        runs = list(_stretches(iter(table.combine_chunks().to_batches()), ("conv_id", "turn", "role", "text", "seq")))
-        for i, rows in enumerate(runs):
-            first, last = START, None
-            if i == len(runs) - 1:
-                first, last = mine["last"]
-            elif i == 0 and "first" in mine:
-                first, last = mine["first"]
-            goes_on = last is not None
-            cols = list(zip(*fragments(rows, first, last, not goes_on), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, _, t) in zip(cols, COLUMNS, strict=True)], names=[n for n, _, _ in COLUMNS])
+        done, held, out = 0, [], []
+
+        def decoded(last_one: bool) -> list[tuple]:
+            first, last = mine["last"] if last_one else mine["first"] if done == 0 and "first" in mine else (START, None)
+            return fragments(held, first, last, last is None)
+
+        for rows in _stretches(batches, ("conv_id", "turn", "role", "text", "seq")):
+            if held and rows[0][0] != held[0][0]:
+                out += decoded(False)
+                done, held = done + 1, []
+                if len(out) >= OUT_ROWS:
+                    yield _output(out)
+                    out = []
+            held = held + rows
+        if held:
+            yield _output(out + decoded(True))
 
     return run
 
 
+def _output(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, _, t) in zip(cols, COLUMNS, strict=True)], names=[n for n, _, _ in COLUMNS])
+
+
 def repair(turns: DataFrame, partitions: int | None = None) -> DataFrame:
     """Per row of turns (conv_id, turn, role, text): COLUMNS; see the module's text."""
     spark = turns.sparkSession

@@ -31,7 +31,7 @@ from . import kernel as K
 from .common import cut, map_batches
 
 N = 13
-MAX_WINDOWS = 1_000_000
+MAX_WINDOWS = 250_000
 BLOOM_BITS = 1 << 26
 
 

@@ -184,6 +184,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rows = rows.join(comp, F.col("rep") == F.col("id"), "left").select("bucket", "rep", "m", F.coalesce("component", "rep").alias("component"))
     rows = cut(rows, "members")
     open_ = rows.where("m > 2").groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
+    open_ = cut(open_, "open")
     n_chunks = F.ceil(F.col("m") / BLOCK)
     dealt = rows.join(open_, "bucket").withColumn("chunk", F.pmod(F.xxhash64("rep"), n_chunks))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)))
