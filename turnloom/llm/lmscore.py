@@ -48,7 +48,7 @@ GATES, LEVELS, BUCKETS = 4, 2, 33
 #: A text is dear once it has cost more bits a byte than this.
 DEAR = 2.2
 HEAD = 1 << 20
-CHUNK = 3_000_000
+CHUNK = 3_500_000
 FAN_IN = 128
 STEPS = 3
 #: A task's chunks start small, so that weights learn early, and double up to CHUNK.
@@ -189,7 +189,8 @@ def evaluate(keys: np.ndarray, look, mixer: Mixer) -> Iterator[tuple]:
 
     Sorted keys with one history and the same first bits are neighbours: they share one
     prediction.  Yields (slots, stretched predictions, mix, gate, where each share starts,
-    the share of each key, the keys' bit).
+    `pick`, the keys' bit); pick finds a key's value in what shares have for a zero and, after
+    these, for a one.
     """
     hashes = slots(keys)
     for i in range(8):
@@ -201,13 +202,15 @@ def evaluate(keys: np.ndarray, look, mixer: Mixer) -> Iterator[tuple]:
         node = (prefix[first] & U((1 << i) - 1)) | U(1 << i)
         at = bit_slots([h[first] for h in hashes], node)
         st = [look(a) for a in at]
-        yield at, st, *mixer.mix(i, st), first, np.cumsum(new, dtype=np.int32) - np.int32(1), (keys >> U(7 - i)).astype(np.uint8) & np.uint8(1)
+        bit = (keys >> U(7 - i)).astype(np.uint8) & np.uint8(1)
+        share = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        yield at, st, *mixer.mix(i, st), first, share + bit * np.int32(len(first)), bit
 
 
-def plain_bits(dot: np.ndarray, share: np.ndarray, bit: np.ndarray) -> np.ndarray:
+def plain_bits(dot: np.ndarray, pick: np.ndarray) -> np.ndarray:
     """Bits that each key's bit costs by the mix: log2(1 + e^-dot) for a one, that and dot for a zero."""
     one = np.log2(1 + np.exp(-dot))
-    return np.where(bit, one[share], (one + dot * np.float32(1.442695))[share])
+    return np.concatenate([one + dot * np.float32(1.442695), one])[pick]
 
 
 class Learner:
@@ -230,10 +233,10 @@ class Learner:
         self.steps += 1
         self.bytes += len(data)
         plain, marks = np.zeros(len(keys), np.float32), []
-        for i, (at, st, dot, gate, first, share, bit) in enumerate(evaluate(keys, self.look, self.mixer)):
-            plain += plain_bits(dot, share, bit)
+        for i, (at, st, dot, gate, first, pick, bit) in enumerate(evaluate(keys, self.look, self.mixer)):
+            plain += plain_bits(dot, pick)
             bucket = (np.rint((np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)) * 2).astype(np.uint8)
-            marks.append(bucket[share] + bit)
+            marks.append(np.concatenate([bucket, bucket + np.uint8(1)])[pick])
             both = np.add.reduceat(counts, first)
             ones = np.add.reduceat(counts * bit, first)
             # damped Newton steps by weight, each weight set on its own bits; more of them early on
@@ -244,9 +247,10 @@ class Learner:
                 p = 1 / (1 + np.exp(-(self.mixer.mix(i, st)[0] if turn else dot)))
                 push, var = seen @ ((ones - p * both)[:, None] * sides), ((both * p * (1 - p)) @ sides) / mass
                 self.mixer.weights[i] += (self.rate() * push / (power * var + 50)).T
+            add = np.empty(len(ones), np.complex64)
+            add.real, add.imag = both - ones, ones
             for a in at:
-                np.add.at(self.n, 2 * a, both - ones)
-                np.add.at(self.n, 2 * a + 1, ones)
+                np.add.at(self.n.view(np.complex64), a, add)
         dear = np.bincount(inverse[levels(plain[inverse], offsets)], minlength=len(keys))
         for lv, weight in enumerate((counts - dear, dear)):
             for i, bucket in enumerate(marks):
@@ -268,16 +272,6 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
-def _word_counts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets, _ = K.buffers(batch.column("text"))
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for a, b in K.chunks(offsets):
-        h = np.sort(K.word_hashes(K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])).view(np.int64))
-        k, c = _merge(h, np.ones(len(h), np.int64))
-        keys, counts = _merge(np.concatenate([keys, k]), np.concatenate([counts, c]))
-    return keys, counts
-
-
 OUT = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
 
 
@@ -287,16 +281,19 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         learner = learner or Learner()
-        keys, counts = _word_counts(batch)
-        keys, counts = np.append(keys, END_HASH), np.append(counts, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(keys), pa.array(counts), pa.nulls(len(keys), pa.binary())], schema=OUT)
+        keys, counts = np.array([END_HASH]), np.array([batch.num_rows])
         data, offsets, _ = K.buffers(batch.column("text"))
         a = 0
         while a < batch.num_rows:
             size = min(CHUNK, FIRST_CHUNK << min(learner.steps, 10))
             b = a + next(K.chunks(offsets[a:], size))[1]
-            learner.learn(*canonical(K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])))
+            w = K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            h = np.sort(K.word_hashes(w).view(np.int64))
+            k, c = _merge(h, np.ones(len(h), np.int64))
+            keys, counts = _merge(np.concatenate([keys, k]), np.concatenate([counts, c]))
+            learner.learn(*canonical(w))
             a = b
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(keys), pa.array(counts), pa.nulls(len(keys), pa.binary())], schema=OUT)
     if learner:
         held: list[tuple[int, int, bytes]] = []
         for row in learner.rows():
@@ -348,11 +345,11 @@ class Model:
         """Code length of each row of canonical bytes."""
         keys, inverse, _ = distinct(data, offsets)
         plain, fine = np.zeros(len(keys), np.float32), np.zeros((LEVELS, len(keys)), np.float32)
-        for i, (_, _, dot, _, _, share, bit) in enumerate(evaluate(keys, self.look, self.mixer)):
-            plain += plain_bits(dot, share, bit)
+        for i, (_, _, dot, _, _, pick, _) in enumerate(evaluate(keys, self.look, self.mixer)):
+            plain += plain_bits(dot, pick)
             p = self.mixer.refine(i, dot)
             for lv in range(LEVELS):
-                fine[lv] -= np.where(bit, np.log2(p[lv])[share], np.log2(1 - p[lv])[share])
+                fine[lv] -= np.log2(np.concatenate([1 - p[lv], p[lv]]))[pick]
         cost = np.where(levels(plain[inverse], offsets), fine[1][inverse], fine[0][inverse])
         return np.add.reduceat(cost, offsets[:-1], dtype=np.float64)
 
