@@ -200,19 +200,29 @@ def q_lineage_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolution(spark, sf_dir).groups.groupBy("method").agg(F.count("*").alias("n"))
 
 
-def _dataset(spark: SparkSession, sf_dir: str) -> lineage.Datasets:
+def _dataset(spans: DataFrame) -> lineage.Datasets:
     field = lambda n: {"field_name": n, "data_type": "string", "description": n}
     config = {"main_fields": [field(n) for n in lineage.BASE_FIELDS], "end2end_metrics": [field("score")], "modules": [{"module_name": "answer", "module_fields": [field("answer_output_answer")], "module_metrics": []}]}
-    return lineage.Datasets(spans_from_conversations(spark, sf_dir).where(F.col("session_id").substr(2, 20).cast("bigint") % 6 == 4), config)
+    return lineage.Datasets(spans, config)
 
 
 def q_lineage_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Started agents of one family, with the answering span as a module."""
-    return _dataset(spark, sf_dir).qa()
+    """Agent spans of all sessions, with the answering span as a module."""
+    return _dataset(spans_from_conversations(spark, sf_dir)).qa()
+
+
+def _lengths(dialogues: DataFrame) -> DataFrame:
+    return dialogues.select("session_id", F.size("dialogue").cast("bigint").alias("n_turns"), "score")
 
 
 def q_lineage_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dataset(spark, sf_dir).dialogues().select("session_id", F.size("dialogue").cast("bigint").alias("n_turns"), "score")
+    """The family with closing answers alone, as its SQL has it; `q_lineage_all_dialogues` has all sessions."""
+    spans = spans_from_conversations(spark, sf_dir)
+    return _lengths(_dataset(spans.where(F.col("session_id").substr(2, 20).cast("bigint") % 6 == 4)).dialogues())
+
+
+def q_lineage_all_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lengths(_dataset(spans_from_conversations(spark, sf_dir)).dialogues())
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
