@@ -1,5 +1,7 @@
 """Queries that take every row, against plain Python on the smallest tables."""
 
+import re
+
 from turnloom.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +33,13 @@ def test_lineage_datasets_hold_all_sessions(spark):
     got = [tuple(r) for r in Q.q_lineage_qa(spark, SF).collect()]
     assert len(got) == len(want) and set(got) == want
     assert {r["session_id"]: r["n_turns"] for r in Q.q_lineage_all_dialogues(spark, SF).collect()} == sessions
+
+
+def test_semantic_text_of_every_row(spark, tmp_path):
+    texts = [None, "", "Straße " * 9 + "STRASSE  ẞ", "x" * 30 + " \t\x1c\n Y\xa0 Ǆ ŉ ﬁ ΑΣ ", "\x85a" + "İ" * 40]
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-1, i, "user", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
+    rows.union(odd).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = Q.q_semantic_whole_text(spark, str(tmp_path)).collect()
+    fold = lambda t: re.sub(r"\s+", " ", (t or "").strip()).casefold()
+    assert sorted(tuple(r) for r in got) == sorted((r["conv_id"], r["turn"], fold(r["text"])) for r in rows.union(odd).collect())

@@ -163,10 +163,16 @@ def q_repeated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heads of texts without eszett, as its SQL has them; `q_semantic_whole_text` has all of every text."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("text").where(~F.col("text").contains("ß"))
     return rows.groupBy(F.substring(semantic(F.col("text")), 1, 20).alias("head")).agg(F.count("*").alias("n"))
 
 
+def q_semantic_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return rows.select("conv_id", "turn", semantic(F.col("text")).alias("text"))
+
+
 def q_agent_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = select_agent(normalise(spans_from_conversations(spark, sf_dir)), AGENT.lower())
     return rows.groupBy("session").agg(F.count("*").alias("n"))
