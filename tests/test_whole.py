@@ -43,3 +43,13 @@ def test_semantic_text_of_every_row(spark, tmp_path):
     got = Q.q_semantic_whole_text(spark, str(tmp_path)).collect()
     fold = lambda t: re.sub(r"\s+", " ", (t or "").strip()).casefold()
     assert sorted(tuple(r) for r in got) == sorted((r["conv_id"], r["turn"], fold(r["text"])) for r in rows.union(odd).collect())
+
+
+def test_sheet_safe_takes_whole_texts(spark, tmp_path):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "=" * 40 + "".join(map(chr, range(1, 40))) + "\x7f\x85é😀" + "\x00z")], "doc_id bigint, text string")
+    rows.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    clean = lambda t: re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ", f"=\x01{t}\x0b.")
+    want = {r["doc_id"]: None if r["text"] is None else clean(r["text"]) for r in rows.union(odd).collect()}
+    got = Q.q_sheet_safe_whole(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {r["doc_id"]: r["cell"] for r in got} == want

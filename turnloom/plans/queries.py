@@ -184,10 +184,16 @@ def q_span_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sheet_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the texts' heads, as its SQL has them; `q_sheet_safe_whole` has the whole texts."""
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.concat(F.lit("=\x01"), F.substring("text", 1, 30), F.lit("\x0b.")).alias("cell"))
     return sheet_safe(rows)
 
 
+def q_sheet_safe_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.concat(F.lit("=\x01"), "text", F.lit("\x0b.")).alias("cell"))
+    return sheet_safe(rows)
+
+
 def q_long_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return rows.select("doc_id", F.length("text").cast("bigint").alias("length")).where(F.col("length") > CELL_LIMIT)
