@@ -3,6 +3,7 @@
 import re
 
 from turnloom.plans import queries as Q
+from turnloom.plans.extract import Config, extract_turns
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,3 +54,12 @@ def test_sheet_safe_takes_whole_texts(spark, tmp_path):
     want = {r["doc_id"]: None if r["text"] is None else clean(r["text"]) for r in rows.union(odd).collect()}
     got = Q.q_sheet_safe_whole(spark, str(tmp_path)).collect()
     assert len(got) == len(want) and {r["doc_id"]: r["cell"] for r in got} == want
+
+
+def test_issues_have_no_limit(spark, monkeypatch):
+    columns = "'t' || id trace_id, 'm' span_id, 'A' agent_id, 's' session_id, 'llm' aef_kind, 'x' span_name, 'i' input_text, 'o' output_text, id start_time_ns, id end_time_ns, '' parent_span_id"
+    x, made = extract_turns(spark.range(150).selectExpr(*columns.split(", ")), Config("", None)), []
+    monkeypatch.setattr(Q, "extract_turns", lambda spans, config: made.append(config.max_issue_examples) or x)
+    assert [tuple(r) for r in Q.q_issue_summary(spark, SF).collect()] == [("no_boundary_span", 150)]
+    Q.q_issues(spark, SF)
+    assert made == [None, None]

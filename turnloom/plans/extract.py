@@ -27,14 +27,14 @@ from .schemas import CONTRACT, OPTIONAL_SPAN_COLUMNS, SPAN_COLUMNS, ExtractionEr
 
 @dataclass(frozen=True)
 class Config:
-    """agent_id: blank where the table holds one agent only; max_issue_examples caps the examples of trace-level issues."""
+    """agent_id: blank where the table holds one agent only; max_issue_examples caps the examples of trace-level issues, None leaves them all."""
 
     agent_id: str = ""
-    max_issue_examples: int = 100
+    max_issue_examples: int | None = 100
 
     def __post_init__(self) -> None:
         n = self.max_issue_examples
-        if isinstance(n, bool) or not isinstance(n, int) or n < 1:
+        if n is not None and (isinstance(n, bool) or not isinstance(n, int) or n < 1):
             raise ValueError("max_issue_examples must be a whole number of 1 or more")
 
 
@@ -245,7 +245,9 @@ class Extraction:
             ("unsupported", issue("unsupported_trace_schema", trace_id=F.col("trace"), details=F.lit("boundary span present but no supported FIPA or AEF pair"))),
         )
         for kind, row in kinds:
-            out = out.unionByName(self.trace_classes.where(F.col("class") == kind).orderBy("trace").limit(n).select(row.alias("i")).select("i.*"))
+            of_kind = self.trace_classes.where(F.col("class") == kind)
+            shown = of_kind if n is None else of_kind.orderBy("trace").limit(n)
+            out = out.unionByName(shown.select(row.alias("i")).select("i.*"))
         from .schemas import ISSUES
 
         return out.select(*ISSUES.names) if names else out
@@ -328,5 +330,5 @@ def build_report(x: Extraction) -> dict[str, Any]:
         "strategies": strategies,
         "turn_key_policy": "FIPA conversation_id+reply_with/in_reply_to; AEF trace_id+span_id",
         "order_policy": "session_id,entry_time_ns,turn_id",
-        "issue_examples_truncated": max(m["unsupported_trace_count"], m["no_boundary_trace_count"]) > x.config.max_issue_examples,
+        "issue_examples_truncated": x.config.max_issue_examples is not None and max(m["unsupported_trace_count"], m["no_boundary_trace_count"]) > x.config.max_issue_examples,
     }

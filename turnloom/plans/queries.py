@@ -49,7 +49,7 @@ _ISSUES = """ issues AS (
 """
 
 
-def _extraction(spark: SparkSession, sf_dir: str, examples: int = 1_000_000) -> Extraction:
+def _extraction(spark: SparkSession, sf_dir: str, examples: int | None = 1_000_000) -> Extraction:
     return extract_turns(spans_from_conversations(spark, sf_dir), Config(AGENT, examples))
 
 
@@ -125,11 +125,11 @@ def q_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _extraction(spark, sf_dir).issues.select("issue_code", "severity", "turn_id", "trace_id", "span_id", "details")
+    return _extraction(spark, sf_dir, None).issues.select("issue_code", "severity", "turn_id", "trace_id", "span_id", "details")
 
 
 def q_issue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _extraction(spark, sf_dir).issues.groupBy("issue_code").agg(F.count("*").alias("n"))
+    return _extraction(spark, sf_dir, None).issues.groupBy("issue_code").agg(F.count("*").alias("n"))
 
 
 def q_issue_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
