@@ -4,7 +4,7 @@ Certain kinds (`assign`, `access`, `hex`) are reported wherever they stand.  Wea
 an upper-case key id, a bare mixed-case secret and an endpoint, are reported only
 where complementary parts lie in their scope, `SCOPE` code points either side: a
 secret needs an identifier or an endpoint, an identifier needs a secret, an endpoint
-needs both.  A weak span that overlaps a certain one is dropped.
+needs both.  Weak parts have a least length but no greatest.  A weak span that overlaps a certain one is dropped.
 
 Scopes are joined as intervals: every part is put into the buckets of SCOPE code
 points that it touches, a weak part into those its scope touches, and an equi-join
@@ -39,10 +39,10 @@ PATTERNS = {
     "assign": (ASSIGN, ASSIGN),
     "access": ("AKIA[A-Z0-9]{12}", "AKIA[A-Z0-9]{12,}"),
     "hex": ("[0-9a-f]{32}", "[0-9a-f]{32,}"),
-    "key_id": ("[A-Z0-9]{16}", r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,32}(?![A-Za-z0-9])"),
+    "key_id": ("[A-Z0-9]{16}", r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,}(?![A-Za-z0-9])"),
     "secret": (
         "[A-Za-z0-9+/_-]{24}",
-        r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,88}={0,2}(?![A-Za-z0-9+/_=-])",
+        r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])",
     ),
     "endpoint": ("://", r"(?i)https?://[A-Za-z0-9.-]+[^\x00-\x20\"'<>]*"),
 }
