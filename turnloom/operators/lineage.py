@@ -25,7 +25,8 @@ AGENT_KINDS = ("start_agent", "input_request")
 ACKS = ("success", "ok", "done", "completed", "true", "false", "accepted")
 EDGE = r"^(get|post|put|patch|delete)\s+\S+|(^|[./])invoke$"
 GROUP = ["g_session", "g_trace"]
-MAX_DEPTH = 1000
+#: So many rounds of hits are written as one table, so that the plan stays small however long a chain is.
+ROUNDS = 50
 
 
 def same(c: Column) -> Column:
@@ -58,17 +59,19 @@ def nearest_edges(asked: DataFrame, spans: DataFrame) -> DataFrame:
     """For each asked span (uid, q) the nearest caller at the edge with the same question and a distinct answer.
 
     Callers are climbed one level a round, all spans at once; a span that was visited
-    is not climbed again, so that cycles end.
+    is not climbed again, so that cycles end; the climb ends when no span has a caller left.
     """
     by_id = spans.where("span <> ''").groupBy(*GROUP, F.col("span").alias("up")).agg(F.min_by(F.struct("uid", "parent", "edge", "p", "name", "ord"), "ord").alias("c"))
     by_id = cut(by_id, "callers")
     front = asked.select("uid", "q", *GROUP, F.col("parent").alias("up"), F.array(F.lit("")).alias("seen"))
     found: list[DataFrame] = []
-    for _ in range(MAX_DEPTH):
+    while True:
         step = front.where(~F.array_contains("seen", F.col("up"))).join(by_id, [*GROUP, "up"])
         hit = F.coalesce(F.col("c.edge") & distinct_pair(F.col("c.p.q"), F.col("c.p.a")) & (same(F.col("c.p.q")) == same(F.col("q"))), F.lit(False))
         step = cut(step.withColumn("hit", hit), "climb")
         found.append(step.where("hit").select("uid", *GROUP, "q", F.col("c.p.a").alias("a"), F.col("c.name").alias("source"), F.col("c.ord").alias("source_ord")))
+        if len(found) >= ROUNDS:
+            found = [cut(reduce(DataFrame.unionByName, found), "hits")]
         front = step.where("not hit").select("uid", "q", *GROUP, F.col("c.parent").alias("up"), F.array_append("seen", F.col("up")).alias("seen"))
         if front.where(~F.array_contains("seen", F.col("up"))).isEmpty():
             break
