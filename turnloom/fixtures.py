@@ -44,12 +44,13 @@ def spans_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat_ws("-", c.cast("string"), k.cast("string"))
     trace, none = F.concat(F.lit("t-"), key), F.lit(None).cast("string")
 
-    def span(where: Column, name: str, kind: str, title: str, inp: Column, out: Column, at: Column = t, tr: Column = trace, parent: Column = none) -> DataFrame:
-        return rows.where(where).select(
+    def span(where: Column, name: str, kind: str, title: str, inp: Column, out: Column, at: Column = t, tr: Column = trace, parent: Column = none) -> Column:
+        row = F.struct(
             tr.alias("trace_id"), F.concat(F.lit(f"{name}-"), key).alias("span_id"), F.lit(AGENT).alias("agent_id"), F.concat(F.lit("s"), c.cast("string")).alias("session_id"),
-            F.lit(kind).alias("aef_kind"), F.lit(title).alias("span_name"), inp.alias("input_text"), out.alias("output_text"), at.cast("bigint").alias("start_time_ns"),
-            (at + 1000).cast("bigint").alias("end_time_ns"), parent.alias("parent_span_id"),
+            F.lit(kind).alias("aef_kind"), F.lit(title).alias("span_name"), inp.cast("string").alias("input_text"), out.cast("string").alias("output_text"), at.cast("bigint").alias("start_time_ns"),
+            (at + 1000).cast("bigint").alias("end_time_ns"), parent.cast("string").alias("parent_span_id"),
         )
+        return F.when(where, row)
 
     lit = F.lit
     family = lambda f: c % 6 == f
@@ -76,14 +77,18 @@ def spans_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         span(family(5), "plan", "chain", "step", none, state("plan"), at=t - 1),
         span(family(5) & ans.isNotNull(), "state", "chain", "step", none, state("exit")),
     ]
-    noise = rows.groupBy("c").agg(F.min("t").alias("t")).select(
-        F.concat(lit("noise-"), c.cast("string")).alias("trace_id"), F.concat(lit("noise-"), c.cast("string")).alias("span_id"), lit(OTHER).alias("agent_id"), F.concat(lit("s"), c.cast("string")).alias("session_id"),
-        lit("llm").alias("aef_kind"), lit("noise").alias("span_name"), none.alias("input_text"), none.alias("output_text"), t.cast("bigint").alias("start_time_ns"), t.cast("bigint").alias("end_time_ns"), none.alias("parent_span_id"),
+    # one scan of the turns: each becomes the spans of its family
+    spans = rows.select(F.explode(F.array_compact(F.array(*parts))).alias("span")).select("span.*")
+    return spans.unionByName(_noise(rows))
+
+
+def _noise(rows: DataFrame) -> DataFrame:
+    """One span a conversation of another agent."""
+    none, name, t = F.lit(None).cast("string"), F.concat(F.lit("noise-"), F.col("c").cast("string")), F.col("t").cast("bigint")
+    return rows.groupBy("c").agg(F.min("t").alias("t")).select(
+        name.alias("trace_id"), name.alias("span_id"), F.lit(OTHER).alias("agent_id"), F.concat(F.lit("s"), F.col("c").cast("string")).alias("session_id"), F.lit("llm").alias("aef_kind"),
+        F.lit("noise").alias("span_name"), none.alias("input_text"), none.alias("output_text"), t.alias("start_time_ns"), t.alias("end_time_ns"), none.alias("parent_span_id"),
     )
-    out = noise
-    for p in parts:
-        out = out.unionByName(p)
-    return out
 
 
 def with_injected_faults(spans: DataFrame) -> DataFrame:

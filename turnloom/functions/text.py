@@ -42,27 +42,39 @@ _ONE, _MANY = _residue()
 _PAIRS = json.dumps([{"a": a, "b": b} for a, b in _MANY])
 
 
-def _ranges(points: list[int]) -> str:
-    """A character class of the code points, neighbours as ranges."""
-    out: list[list[int]] = []
-    for p in sorted(points):
-        if out and p == out[-1][1] + 1:
-            out[-1][1] = p
-        else:
-            out.append([p, p])
-    return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in out) + "]"
+def _any_of(points: list[int]) -> str:
+    """A pattern of one of the code points, neighbours as ranges.
 
+    Those beyond Latin-1 stand behind a test of one range: a class of many ranges is slow,
+    and most letters never come to it.
+    """
 
-_SPECIAL = _ranges([ord(a) for a, _ in _ONE + _MANY])
+    def ranges(some: list[int]) -> str:
+        out: list[list[int]] = []
+        for p in sorted(some):
+            if out and p == out[-1][1] + 1:
+                out[-1][1] = p
+            else:
+                out.append([p, p])
+        return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in out) + "]"
+
+    near, far = [p for p in points if p < 0x100], [p for p in points if p >= 0x100]
+    return "|".join(([ranges(near)] if near else []) + ([rf"(?![\x00-\xff]){ranges(far)}"] if far else []))
+
+
+_SPECIAL = _any_of([ord(a) for a, _ in _ONE + _MANY])
+#: The one of them that is common in texts, and the others.
+_COMMON = "ß"
+_RARE = _any_of([ord(a) for a, _ in _ONE + _MANY if a != _COMMON])
 
 
 def casefold(c: Column) -> Column:
-    """Full Unicode case folding."""
+    """Full Unicode case folding; the long chain of replacements is for texts with rare letters alone."""
     low = F.lower(c)
     single = F.translate(low, "".join(a for a, _ in _ONE), "".join(b for _, b in _ONE))
     pairs = F.from_json(F.lit(_PAIRS), "array<struct<a:string,b:string>>")
     full = F.aggregate(pairs, single, lambda s, p: F.replace(s, p["a"], p["b"]))
-    return F.when(low.rlike(_SPECIAL), full).otherwise(low)
+    return F.when(~low.rlike(_SPECIAL), low).when(~low.rlike(_RARE), F.replace(low, F.lit(_COMMON), F.lit(_COMMON.casefold()))).otherwise(full)
 
 
 def semantic(c: Column) -> Column:

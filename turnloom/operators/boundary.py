@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ladders import at, choose, has_label, incoming, joined, outgoing, request, response
+from ..functions.ladders import at, choose, has_label, joined
 from ..functions.text import semantic
 from ..plans.schemas import BOUNDARY, FAMILY, PARENT, START_AGENT
 from .common import issue, local_turn
@@ -18,13 +18,22 @@ def boundary_spans(rest: DataFrame, exchange_traces: DataFrame) -> DataFrame:
     return rest.where("outer").unionByName(inner)
 
 
+def started(p: Column) -> Column:
+    """(text, path) of a started agent's own fields in an input payload."""
+    fields = F.when(p["shape"] == "object", p["fields"])
+    return choose([(at(fields, k), f"input_text.{k}") for k in ("goal", "task", "text")])
+
+
+def ended(p: Column) -> Column:
+    """(text, path) of a started agent's own fields in an output payload."""
+    fields = F.when(p["shape"] == "object", p["fields"])
+    return choose([(at(fields, k), f"output_text.{k}") for k in ("summary", "error")])
+
+
 def read_pairs(spans: DataFrame) -> DataFrame:
     """spans with q and r (text, path), version and `outcome`: turn, boundary_pair_incomplete or session_id_missing."""
-    started = (F.col("kind") == "start_agent") & (F.col("pin.shape") == "object")
-    ended = (F.col("kind") == "start_agent") & (F.col("pout.shape") == "object")
-    more_q = choose([(F.when(started, at(F.col("pin.fields"), k)), f"input_text.{k}") for k in ("goal", "task", "text")])
-    more_r = choose([(F.when(ended, at(F.col("pout.fields"), k)), f"output_text.{k}") for k in ("summary", "error")])
-    spans = spans.withColumns({"q0": request(F.col("pin")), "r0": response(F.col("pout")), "q1": more_q, "r1": more_r})
+    agent = F.col("kind") == "start_agent"
+    spans = spans.withColumns({"q0": F.col("q"), "r0": F.col("r"), "q1": F.when(agent, F.col("started")), "r1": F.when(agent, F.col("ended"))})
     use_q = (F.coalesce("q0.text", F.lit("")) == "") & (F.col("q1.text") != "")
     use_r = (F.coalesce("r0.text", F.lit("")) == "") & (F.col("r1.text") != "")
     by_text = (F.col("kind") == "start_agent") & (F.col("q0.path") == "input_text.text")
@@ -58,12 +67,12 @@ def parent_pairs(spans: DataFrame) -> DataFrame:
     that share an id the last in order counts.
     """
     spans = spans.where("trace <> ''")
-    started = spans.where("kind = 'start_agent'").select("trace", "span", "session", "ord", "parent", request(F.col("pin")).getField("text").alias("carried"))
+    started = spans.where("kind = 'start_agent'").select("trace", "span", "session", "ord", "parent", F.coalesce("q.text", F.lit("")).alias("carried"))
     ids = started.select("trace", F.col("parent").alias("span")).distinct()
     callers = spans.where("span <> ''").join(ids, ["trace", "span"], "left_semi")
-    callers = callers.groupBy("trace", F.col("span").alias("parent")).agg(F.max_by(F.struct("outer", "session", "t", "t_end", "pin", "pout"), "ord").alias("up")).where("up.outer")
+    callers = callers.groupBy("trace", F.col("span").alias("parent")).agg(F.max_by(F.struct("outer", "session", "t", "t_end", "i", "o"), "ord").alias("up")).where("up.outer")
     both = started.join(callers, ["trace", "parent"])
-    both = both.withColumns({"inc": incoming(F.col("up.pin")), "out": outgoing(F.col("up.pout"))})
+    both = both.withColumns({"inc": F.col("up.i"), "out": F.col("up.o")})
     parts = F.col("inc.env.parts")
     label = has_label(parts)
     both = both.withColumns(

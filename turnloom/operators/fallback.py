@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ladders import at, last_said, request
+from ..functions.ladders import at, last_said
 from ..functions.text import semantic, strip
 from ..plans.schemas import STATE, TERMINAL
 from .common import local_turn
@@ -20,7 +20,7 @@ def terminal_turns(spans: DataFrame, labels: DataFrame) -> DataFrame:
     part of the query.
     """
     spans = spans.where("trace <> ''")
-    starts = spans.where("kind = 'start_agent'").withColumn("q", request(F.col("pin"))).where("q.text <> ''")
+    starts = spans.where("kind = 'start_agent' and q.text <> ''")
     place = F.struct(F.col("t").isNull().alias("no"), F.coalesce("t", F.lit(0)).alias("t"), F.col("span"), F.col("ord"))
     one = starts.groupBy("trace").agg(F.count_distinct(semantic(F.col("q.text"))).alias("n"), F.min_by(F.struct("session", "span", "t", "q"), place).alias("s"))
     one = one.where("n = 1").select("trace", "s.*").where("session <> ''")
@@ -29,7 +29,7 @@ def terminal_turns(spans: DataFrame, labels: DataFrame) -> DataFrame:
     one = one.withColumns({"word": F.when(F.col("q.text").contains(" ") & (tail != ""), word), "tail": tail})
     one = one.join(labels.select(F.col("label").alias("known")), F.col("word") == F.col("known"), "left")
     one = one.withColumns({"route": F.coalesce("known", F.lit("")), "query": F.when(F.col("known").isNotNull(), F.col("tail")).otherwise(F.col("q.text"))})
-    closing = spans.where(F.size("pout.terminal") > 0).select("trace", "session", "ord", F.posexplode("pout.terminal").alias("i", "c"))
+    closing = spans.where(F.size("closing") > 0).select("trace", "session", "ord", F.posexplode("closing").alias("i", "c"))
     both = one.join(closing, ["trace", "session"]).withColumn("a", semantic(F.col("c.text")))
     both = both.where((F.col("a") != semantic(F.col("q.text"))) & (F.col("a") != semantic(F.col("query"))))
     keys = ["trace", "session", "span", "t", "query", "route", F.col("q.path").alias("q_path")]
@@ -44,13 +44,19 @@ def terminal_turns(spans: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def final_state(pin: Column, pout: Column) -> Column:
+    """struct(source, answer, route, query) of a payload at a final stage, outputs first, or null."""
+
+    def of(p: Column, source: str) -> Column:
+        read = F.struct(F.lit(source).alias("source"), at(p["fields"], "message_to_user").alias("answer"), at(p["fields"], "product_agent").alias("route"), last_said(p["messages"], "user", "human").alias("query"))
+        return F.when(p["stage"].isin(*FINAL_STAGES), read)
+
+    return F.coalesce(of(pout, "output_text"), of(pin, "input_text"))
+
+
 def state_turns(spans: DataFrame) -> DataFrame:
     """The last final state of each trace; turns without a session are among them."""
-    final = lambda p: F.col(f"{p}.stage").isin(*FINAL_STAGES)
-    source = F.when(final("pout"), "output_text").when(final("pin"), "input_text")
-    spans = spans.where("trace <> '' and state_likely").withColumn("source", source).where("source is not null")
-    spans = spans.withColumn("p", F.when(F.col("source") == "output_text", F.col("pout")).otherwise(F.col("pin")))
-    spans = spans.select("trace", "span", "session", "source", "ord", F.coalesce("t", F.lit(0)).alias("t"), at(F.col("p.fields"), "message_to_user").alias("answer"), at(F.col("p.fields"), "product_agent").alias("route"), last_said(F.col("p.messages"), "user", "human").alias("query"))
+    spans = spans.where("trace <> '' and state_likely and state is not null").select("trace", "span", "session", "ord", F.coalesce("t", F.lit(0)).alias("t"), "state.*")
     spans = spans.where((F.coalesce("answer", F.lit("")) != "") & (F.coalesce("query", F.lit("")) != "") & (semantic(F.col("answer")) != semantic(F.col("query"))))
     last = spans.groupBy("trace").agg(F.min_by(F.struct("span", "session", "source", "t", "answer", "route", "query"), F.struct(-F.col("t"), F.col("ord"))).alias("s")).select("trace", "s.*")
     c = F.col

@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ladders import incoming, outgoing
+from ..functions.ladders import incoming, outgoing, request, response
 from ..functions.payload import TERMINAL_KEYS, payload
 from ..functions.tables import cut
 from ..functions.text import ident, integer, semantic, strip
@@ -98,6 +98,27 @@ def mark(rows: DataFrame) -> DataFrame:
     )
 
 
+def view(rows: DataFrame) -> DataFrame:
+    """rows with what the strategies read of their decoded payloads `pin` and `pout`, each choice made once.
+
+    i, o: the message an input or output carries; q, r: what is asked and answered; started, ended:
+    the same of a started agent's own fields; closing: closing answers; state: an agent's final state.
+    """
+    pin, pout = F.col("pin"), F.col("pout")
+    return rows.withColumns(
+        {
+            "i": incoming(pin),
+            "o": outgoing(pout),
+            "q": F.when(pin.isNotNull(), request(pin)),
+            "r": F.when(pout.isNotNull(), response(pout)),
+            "started": boundary.started(pin),
+            "ended": boundary.ended(pout),
+            "closing": pout["terminal"],
+            "state": fallback.final_state(pin, pout),
+        }
+    )
+
+
 @dataclass
 class Extraction:
     """The frames of one extraction, each made when first asked for."""
@@ -120,14 +141,15 @@ class Extraction:
 
     @cached_property
     def decoded(self) -> DataFrame:
+        """The rows that a strategy can use, with what any of them reads of the payloads."""
         rows = self.agent_rows.where("candidate or state_likely or closing_likely")
-        rows = rows.withColumns({"pin": payload(F.col("input")), "pout": payload(F.col("output"))}).drop("input", "output", "agent")
-        return cut(rows, "decoded")
+        rows = rows.withColumns({"pin": payload(F.col("input")), "pout": payload(F.col("output"))})
+        return cut(view(rows).drop("input", "output", "agent", "pin", "pout"), "decoded")
 
     # --- message exchanges -------------------------------------------------
     @cached_property
     def _read(self) -> DataFrame:
-        return self.decoded.where("candidate").withColumns({"i": incoming(F.col("pin")), "o": outgoing(F.col("pout"))})
+        return self.decoded.where("candidate")
 
     @cached_property
     def exchange_rows(self) -> DataFrame:
@@ -154,7 +176,7 @@ class Extraction:
     # --- boundaries ----------------------------------------------------------
     @cached_property
     def boundary_pairs(self) -> DataFrame:
-        rest = self._read.where("i is null and o is null").drop("i", "o")
+        rest = self._read.where("i is null and o is null")
         pairs = boundary.read_pairs(boundary.boundary_spans(rest, self.exchange_rows.select("trace").distinct()))
         return cut(pairs.select("trace", "span", "session", "t", "version", "q", "r", "outcome"), "boundaries")
 

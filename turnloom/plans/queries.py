@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixtures import AGENT, spans_from_conversations, with_injected_faults
-from ..functions.ladders import asks, has_label, joined, replies, request, response
+from ..functions.ladders import asks, has_label, joined, replies
 from ..functions.text import semantic
 from ..operators import lineage
 from ..operators.project import flat, pack, repeated_answers
@@ -98,12 +98,12 @@ def q_pair_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_request_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _extraction(spark, sf_dir).decoded.where("pin is not null").withColumn("q", request(F.col("pin")))
+    rows = _extraction(spark, sf_dir).decoded.where("q is not null")
     return rows.select("span", F.col("q.text").alias("text"), F.col("q.path").alias("path"))
 
 
 def q_response_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _extraction(spark, sf_dir).decoded.where("pout is not null").withColumn("r", response(F.col("pout")))
+    rows = _extraction(spark, sf_dir).decoded.where("r is not null")
     return rows.select("span", F.col("r.text").alias("text"), F.col("r.path").alias("path"))
 
 
