@@ -5,6 +5,8 @@ import re
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Names that operators use for columns of their own.
+CLASHES = ("row", "key", "run", "order", "id", "before", "inside", "start", "s1", "r1", "times", "shape", "k1", "k2", "__k1", "__k2", "__spans", "__uid", "__run", "spans", "uid", "at", "n_words", "hash", "a.b", "with `tick`")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 

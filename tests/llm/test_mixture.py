@@ -1,9 +1,11 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from turnloom.llm import mixture as M
 
-from .cases import SCHEMA, SF, WORD, odd_rows
+from .cases import CLASHES, SCHEMA, SF, WORD, odd_rows
 
 
 def fill(sizes):
@@ -79,6 +81,53 @@ def test_schedules_are_inverted(spark):
 
 def test_a_late_source_comes_late(spark):
     rows = [(i, "w " * 10, None, "ab"[i % 2], 1) for i in range(400)]
-    got = M.curriculum(spark.createDataFrame(rows, SCHEMA), {"b": [(0.0, 0.0), (1.0, 1.0)]}, cycle=(1.0,)).collect()
+    got = M.curriculum(spark.createDataFrame(rows, SCHEMA), {"a": [(0.0, 1.0), (1.0, 1.0)], "b": [(0.0, 0.0), (1.0, 1.0)]}, cycle=(1.0,)).collect()
     mean = {s: sum(r["position"] for r in got if r["source"] == s) / 200 for s in "ab"}
     assert mean["b"] > mean["a"] + 0.1
+
+
+def reached(knots, share):
+    """The time at which the integral of the weight reaches a share of its whole, by bisection."""
+
+    def area(t):
+        out = 0.0
+        for (t0, w0), (t1, w1) in zip(knots, knots[1:], strict=False):
+            x = min(max(t - t0, 0.0), t1 - t0)
+            out += x * (w0 + (w0 + (w1 - w0) * x / (t1 - t0))) / 2
+        return out
+
+    low, high, want = 0.0, 1.0, share * area(1.0)
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if area(middle) < want else (low, middle)
+    return high
+
+
+def places(rows, shapes):
+    """{doc_id: positions} by walking each source's documents in hash order."""
+    names = sorted({r[3] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = {i: len(WORD.findall(t or "")) for i, t, *_ in rows}
+    total = {s: sum(sizes[r[0]] for r in rows if r[3] == s) for s in names}
+    want, out = fill(total), {}
+    for n, s in enumerate(names):
+        mine, at = sorted((r[0] for r in rows if r[3] == s), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()), 0
+        for i in mine:
+            out[i] = [reached(shapes[n % len(shapes)], (at + e * total[s]) / want[s]) for e in range(3) if sizes[i] and at + e * total[s] < int(want[s] + 1e-9)]
+            at += sizes[i]
+    return out
+
+
+def test_positions_invert_the_schedules(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    got = {r["doc_id"]: r["positions"] for r in M.curriculum(docs, keep_text=False).collect()}
+    want, even = places(rows, M.SHAPES), places(rows, (((0.0, 1.0), (1.0, 1.0)),))
+    assert all(got[i] == pytest.approx(want[i], abs=1e-6) for i in want)
+    assert any(got[i] != pytest.approx(even[i], abs=1e-2) for i in want)
+
+
+def test_columns_named_like_the_operator(spark):
+    rows = [(i, "w " * (i % 7), None, "ab"[i % 2], 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in CLASHES})
+    got = M.curriculum(docs).collect()
+    assert len(got) == 60 and all(r[c] == c for r in got for c in CLASHES)

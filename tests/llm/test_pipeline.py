@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.common import cut
 from turnloom.llm.queries import ORACLES, QUERIES
 
-from .cases import SF, similar_components
+from .cases import CLASHES, SCHEMA, SF, odd_rows, similar_components
 from .test_decontam import brute as leak
 from .test_quality import brute as counts
 from .test_secrets import base
@@ -56,3 +56,15 @@ def test_oracles(spark, name):
     columns = sorted(df.columns)
     want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
     assert sorted(map(repr, map(tuple, df.select(*columns).collect()))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_a_stage_bears_clashing_columns_and_no_rows(spark, name):
+    """A caller's columns come back as they are, whatever their names; an empty table stays empty."""
+    stage, names = dict(P.STAGES)[name], [c for c in CLASHES if c not in ("n_words",)]
+    docs = spark.createDataFrame(odd_rows(), SCHEMA).withColumns({c: F.concat(F.lit(f"{c} "), F.coalesce("doc_id", F.lit(-1))) for c in names})
+    plain = {repr(r["doc_id"]): r for r in stage(spark, spark.createDataFrame(odd_rows(), SCHEMA), SF).collect()}
+    got = stage(spark, docs, SF).collect()
+    assert {repr(r["doc_id"]) for r in got} == set(plain)
+    assert all(r[c] == f"{c} {-1 if r['doc_id'] is None else r['doc_id']}" for r in got for c in names)
+    assert stage(spark, docs.limit(0), SF).collect() == []

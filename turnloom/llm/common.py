@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tables import cut, shared_dir
 
-__all__ = ["GAP", "WORD", "crc_mod", "cut", "documents", "map_batches", "row_key", "shared_dir"]
+__all__ = ["GAP", "WORD", "crc_mod", "cut", "documents", "map_batches", "packed", "row_key", "shared_dir", "unpacked"]
 
 #: Java regex of one word, and of what lies between words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,7 +25,24 @@ def crc_mod(col: Column, m: int) -> Column:
 def row_key(*columns: str) -> dict[str, Column]:
     """Two columns, 128 bits, that identify a row by these columns, nulls told apart."""
     cols = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
-    return {"__k1": F.xxhash64(F.lit(1), *cols), "__k2": F.xxhash64(F.lit(2), *cols)}
+    return {"k1": F.xxhash64(F.lit(1), *cols), "k2": F.xxhash64(F.lit(2), *cols)}
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, *columns: str, **own: Column) -> DataFrame:
+    """The caller's row (these columns of it, or all) in one struct `row`, beside an operator's own columns.
+
+    Whatever the caller's columns are named, none meets a column of the operator.
+    """
+    return df.select(F.struct(*map(quoted, columns or df.columns)).alias("row"), *[c.alias(k) for k, c in own.items()])
+
+
+def unpacked(*columns: str) -> list[Column]:
+    """The caller's columns out of `row`."""
+    return [F.col("row").getField(c).alias(c) for c in columns]
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

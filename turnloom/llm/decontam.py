@@ -5,11 +5,12 @@ is one window).  Documents are scanned once on Arrow buffers: rolling window
 hashes are looked up in the sorted window set, and every hit is verified byte for
 byte against the item's window before it counts.
 
-The window set is broadcast only while it is proven small (`MAX_WINDOWS`
-distinct windows, counted first).  A larger one stays distributed: a Bloom
-bitmap of fixed size (`BLOOM_BITS`) is broadcast instead, the windows of documents
+The window set is broadcast only while it is proven small (`MAX_WINDOWS` pairs of a
+window and an item, and `MAX_BYTES`, both counted first).  A larger one stays distributed: a Bloom
+bitmap of fixed size (`BLOOM_BITS`), built by executors in blocks, is broadcast instead, the windows of documents
 that pass it are joined with the window table on the hash and on the words
-themselves, and the hits come back as intervals; results are equal.
+themselves, and the hits come back as intervals; results are equal.  A document's
+text is scanned once, whatever is asked.
 
 Defined results: null or wordless texts have no words, no hits and stay; items
 without words (or null) match nothing; rows that repeat are judged each for
@@ -23,16 +24,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import cut, map_batches
+from .common import cut, map_batches, packed, unpacked
 
 N = 13
-MAX_WINDOWS = 250_000
-BLOOM_BITS = 1 << 26
+MAX_WINDOWS, MAX_BYTES = 250_000, 64_000_000
+BLOOM_BITS, BLOOM_BLOCK = 1 << 26, 1 << 16
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[K.Words, np.ndarray]:
@@ -67,10 +67,14 @@ def _item_windows(n: int):
 
 
 def item_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
-    """(hash, size, phrase, items): the distinct windows and the sorted ids of the items that hold them."""
+    """(hash, size, phrase, item): the distinct windows of each item."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    flat = map_batches(items, _item_windows(n), "hash bigint, size int, phrase binary, item string")
-    return flat.groupBy("hash", "size", "phrase").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return map_batches(items, _item_windows(n), "hash bigint, size int, phrase binary, item string").distinct()
+
+
+def _is_small(windows: DataFrame, most: int) -> bool:
+    one = windows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("phrase") + F.octet_length("item")), F.lit(0)).alias("bytes")).first()
+    return one["n"] <= most and one["bytes"] <= MAX_BYTES
 
 
 def _cover(counts: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -128,29 +132,42 @@ class _Scanner:
                         items.setdefault(int(rows[i]), set()).update(ids)
         return w, np.array(starts, np.int64), np.array(ends, np.int64), items
 
-    def report(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+    def judge(self, batch: pa.RecordBatch):
+        """Of one scan by chunk: (first row, words, words hit, item sets, hit intervals) by row of the chunk."""
         data, offsets, _ = K.buffers(batch.column("text"))
-        words, hits, n_items, sha = [], [], [], []
         for a, b in K.chunks(offsets):
             w, starts, ends, items = self.scan(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            words.append(w.counts)
-            hits.append(_cover(w.counts, w.first, starts, ends))
-            n_items += [len(items.get(r, ())) for r in range(b - a)]
-            sha += [_items_sha(items[r]) if r in items else NO_ITEMS for r in range(b - a)]
+            at: dict[int, list[tuple[int, int]]] = {}
+            owner = np.searchsorted(w.first, starts, "right") - 1
+            for r, s, e in zip(owner.tolist(), (starts - w.first[owner]).tolist(), (ends - w.first[owner]).tolist(), strict=True):
+                at.setdefault(r, []).append((s, e))
+            yield a, w.counts, _cover(w.counts, w.first, starts, ends), items, at
+
+    def report(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, hits, n_items, sha = [], [], [], []
+        for _a, counts, hit, items, _at in self.judge(batch):
+            words.append(counts)
+            hits.append(hit)
+            n_items += [len(items.get(r, ())) for r in range(len(counts))]
+            sha += [_items_sha(items[r]) if r in items else NO_ITEMS for r in range(len(counts))]
         words, hits = np.concatenate(words), np.concatenate(hits)
-        flag = (hits > 0) & (20 * hits >= words)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (words, hits, np.array(n_items, np.int64), sha, flag))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *map(pa.array, (words, hits, np.array(n_items, np.int64), sha, _flags(hits, words)))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+        )
 
-    def spans(self, batch: pa.RecordBatch) -> pa.RecordBatch:
-        """The batch with its texts cut: every word interval that is hit goes."""
-        data, offsets, _ = K.buffers(batch.column("text"))
-        at: list[list[tuple[int, int]]] = []
-        for a, b in K.chunks(offsets):
-            w, starts, ends, items = self.scan(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            for r in range(b - a):
-                mine = (starts >= w.first[r]) & (starts < w.first[r + 1]) if r in items else slice(0, 0)
-                at.append([(int(s - w.first[r]), int(e - w.first[r])) for s, e in zip(starts[mine], ends[mine], strict=True)])
-        return _without(batch, at)
+    def clean(self, batch: pa.RecordBatch, mode: str) -> pa.RecordBatch:
+        """The batch without its contaminated rows, and with what is hit in the others cut out, as the mode says."""
+        keep, at = [], []
+        for _a, counts, hit, _items, where in self.judge(batch):
+            keep.append(~_flags(hit, counts) if mode != "spans" else np.ones(len(counts), bool))
+            at += [where.get(r, []) for r in range(len(counts))]
+        keep = np.concatenate(keep)
+        batch = batch.filter(pa.array(keep))
+        return _without(batch, [a for a, k in zip(at, keep, strict=True) if k]) if mode != "documents" and batch.num_rows else batch
+
+
+def _flags(hits: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return (hits > 0) & (20 * hits >= words)
 
 
 def _without(batch: pa.RecordBatch, at: list[list[tuple[int, int]]]) -> pa.RecordBatch:
@@ -182,8 +199,10 @@ def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _scanner(spark, windows: DataFrame) -> _Scanner:
-    rows = [(r["hash"], r["size"], bytes(r["phrase"]), r["items"]) for r in windows.toLocalIterator()]
-    return _Scanner(spark.sparkContext.broadcast(rows))
+    table: dict[tuple, list[str]] = {}
+    for r in windows.toLocalIterator():
+        table.setdefault((r["hash"], r["size"], bytes(r["phrase"])), []).append(r["item"])
+    return _Scanner(spark.sparkContext.broadcast([(*k, items) for k, items in table.items()]))
 
 
 SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
@@ -193,19 +212,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows
     """Per row of docs (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     windows = cut(item_windows(benchmark, n), "windows")
-    if windows.count() <= max_windows:
+    if _is_small(windows, max_windows):
         return map_batches(docs, _scanner(docs.sparkSession, windows).report, SCHEMA)
     return _joined(cut(docs.withColumn("uid", F.monotonically_increasing_id()), "numbered"), windows)[0].drop("uid")
 
 
+def _bitmap(windows: DataFrame) -> np.ndarray:
+    """BLOOM_BITS bits of the windows' hashes, set in executors by block, one block a row."""
+
+    def block(table: pa.Table) -> pa.Table:
+        bits = np.zeros(BLOOM_BLOCK, np.uint8)
+        bits[table["low"].to_numpy() % BLOOM_BLOCK] = 1
+        return pa.table({"block": table["block"][:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    low = windows.select(F.col("hash").bitwiseAND(F.lit(BLOOM_BITS - 1)).alias("low")).distinct().withColumn("block", F.floor(F.col("low") / BLOOM_BLOCK).cast("int"))
+    out = np.zeros(BLOOM_BITS // 8, np.uint8)
+    for r in low.groupBy("block").applyInArrow(block, "block int, bits binary").toLocalIterator():
+        out[r["block"] * (BLOOM_BLOCK // 8) : (r["block"] + 1) * (BLOOM_BLOCK // 8)] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
 def _joined(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the same result with uid, hits) of docs (uid, doc_id, text), the windows kept distributed behind a Bloom bitmap."""
     spark = docs.sparkSession
     mask = BLOOM_BITS - 1
-    bits = np.zeros(BLOOM_BITS // 8, np.uint8)
-    for batch in windows.select(F.col("hash").bitwiseAND(F.lit(mask)).alias("h")).distinct().toLocalIterator():
-        bits[batch["h"] >> 3] |= 1 << (batch["h"] & 7)
-    bloom = spark.sparkContext.broadcast(bits)
+    bloom = spark.sparkContext.broadcast(_bitmap(windows))
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]
 
     def candidates(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -231,10 +262,11 @@ def _joined(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
         return pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), pa.array(n)], names=["uid", "doc_id", "n_words"])
 
     found = map_batches(docs.select("uid", "text"), candidates, "uid bigint, at bigint, hash bigint, size int, phrase binary")
-    hits = cut(found.join(windows, ["hash", "size", "phrase"]).select("uid", "at", "size", "items"), "hits")
+    window = ["hash", "size", "phrase"]
+    hits = cut(found.join(windows.select(*window).distinct(), window), "hits")
     spot = hits.select("uid", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("word")).distinct()
     n_hit = spot.groupBy("uid").agg(F.count("*").alias("n_hit"))
-    items = hits.select("uid", F.explode("items").alias("item")).distinct().groupBy("uid").agg(F.array_sort(F.collect_set("item")).alias("ids"))
+    items = hits.select("uid", *window).distinct().join(windows, window).select("uid", "item").distinct().groupBy("uid").agg(F.array_sort(F.collect_set("item")).alias("ids"))
     items = items.select("uid", F.size("ids").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", "ids").cast("binary"), 256).alias("sha"))
     base = map_batches(docs, count, "uid bigint, doc_id bigint, n_words bigint")
     out = base.join(n_hit, "uid", "left").join(items, "uid", "left")
@@ -254,31 +286,31 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, mode:
     if mode not in ("documents", "spans", "both"):
         raise ValueError(f"mode is documents, spans or both, not {mode!r}")
     windows = cut(item_windows(benchmark, n), "windows")
-    if windows.count() > max_windows:
+    if not _is_small(windows, max_windows):
         return _remove_joined(docs, windows, mode)
     scanner = _scanner(docs.sparkSession, windows)
 
-    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if mode != "spans":
-            slim = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], names=["doc_id", "text"])
-            batch = batch.filter(pa.compute.invert(scanner.report(slim).column("contaminated")))
-        return scanner.spans(batch) if mode != "documents" and batch.num_rows else batch
+    held = packed(docs, text=F.col("text").cast("string"))
+    return _with_texts(map_batches(held, lambda batch: scanner.clean(batch, mode), held.schema), docs.columns)
+
 
-    return map_batches(docs, clean, docs.schema)
+def _with_texts(held: DataFrame, columns: list[str]) -> DataFrame:
+    """The caller's columns out of (row, text), its text replaced by the other."""
+    return held.select(*[F.col("text").alias(c) if c.lower() == "text" else unpacked(c)[0] for c in columns])
 
 
 def _remove_joined(docs: DataFrame, windows: DataFrame, mode: str) -> DataFrame:
-    numbered = cut(docs.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
-    report, hits = _joined(numbered.select(F.col("__uid").alias("uid"), F.lit(None).cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), windows)
+    numbered = cut(packed(docs, text=F.col("text").cast("string"), uid=F.monotonically_increasing_id()), "numbered")
+    report, hits = _joined(numbered.select("uid", F.lit(None).cast("bigint").alias("doc_id"), "text"), windows)
     if mode != "spans":
-        numbered = numbered.join(report.where("contaminated").select(F.col("uid").alias("__uid")), "__uid", "left_anti")
+        numbered = numbered.join(report.where("contaminated").select("uid"), "uid", "left_anti")
     if mode == "documents":
-        return numbered.select(*docs.columns)
-    at = hits.groupBy(F.col("uid").alias("__uid")).agg(F.collect_set(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e"))).alias("__at"))
-    numbered = numbered.join(at, "__uid", "left").select(*docs.columns, "__at")
+        return numbered.select(*unpacked(*docs.columns))
+    at = hits.groupBy("uid").agg(F.collect_set(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e"))).alias("at"))
+    numbered = numbered.join(at, "uid", "left").select("row", "text", "at")
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
-        where = [[(x["s"], x["e"]) for x in r or ()] for r in batch.column("__at").to_pylist()]
-        return _without(batch.drop_columns(["__at"]), where)
+        where = [[(x["s"], x["e"]) for x in r or ()] for r in batch.column("at").to_pylist()]
+        return _without(batch.drop_columns(["at"]), where)
 
-    return map_batches(numbered, clean, docs.schema)
+    return _with_texts(map_batches(numbered, clean, numbered.drop("at").schema), docs.columns)

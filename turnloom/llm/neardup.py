@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import cut, map_batches
+from .common import cut, map_batches, quoted
 
 T, BANDS = 128, 32
 BLOCK = 512
@@ -205,4 +205,4 @@ def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Rows that share a doc_id and are kept all stay: they are one document.
     """
     gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*map(quoted, docs.columns))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import GAP, WORD, cut, row_key
+from .common import GAP, WORD, cut, packed, row_key, unpacked
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -158,6 +158,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     is rejected (a row's key is 128 bits of its id, text and language).
     """
     keys = row_key("doc_id", "text", "lang")
-    measured = cut(measure(docs.select("doc_id", "text", "lang").withColumns(keys)).drop("text"), "measured")
+    measured = cut(measure(docs.select("doc_id", "text", "lang", *[c.alias(k) for k, c in keys.items()])).drop("text"), "measured")
     gone = verdicts(measured, cutoffs(measured, labels)).where("not kept").select(*keys).distinct()
-    return docs.withColumns(keys).join(gone.hint("shuffle_hash"), list(keys), "left_anti").select(*docs.columns)
+    return packed(docs, **keys).join(gone.hint("shuffle_hash"), list(keys), "left_anti").select(*unpacked(*docs.columns))

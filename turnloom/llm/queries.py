@@ -59,7 +59,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = curriculum(documents(spark, sf_dir, "doc_id", "text", "source"), keep_text=False)
-    return out.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
 QUERIES = {
@@ -126,6 +126,22 @@ ORACLES: dict[str, str] = {
         r AS (SELECT DISTINCT v.doc_id FROM v JOIN best ON best.lang IS NOT DISTINCT FROM v.lang AND best.signal = v.signal AND rank = 1 WHERE value > cutoff)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM r) AS kept FROM b
     """,
+    "op10_curriculum_mix": r"""
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+        w AS (SELECT *, [5.0, 2.0, 1.0][(place % 3 + 1)::INT]::DOUBLE AS weight, 3.0::DOUBLE * source_size AS cap FROM s),
+        f AS (SELECT *, row_number() OVER fill AS turn, (sum(source_size::DOUBLE) OVER () - coalesce(sum(cap) OVER earlier, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+              FROM w WINDOW fill AS (ORDER BY cap / weight, source NULLS LAST), earlier AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT f.*, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * weight) END AS target
+              FROM f, (SELECT min_by(level, turn) AS final FROM f WHERE level * weight <= cap)),
+        r AS (SELECT d.doc_id, size, source_size, target, place % 3 AS shape, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(d.doc_id::VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+                CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        p AS (SELECT *, floor(least(greatest(target - epochs * source_size - start, 0), size)) AS part, CASE WHEN target > 0 THEN least(start / target, 1) ELSE 0 END AS share FROM r)
+        SELECT doc_id, size, source_size, target, (epochs * size + part)::BIGINT AS taken,
+            CASE WHEN size > 0 AND epochs + part > 0 THEN round(CASE shape WHEN 0 THEN 2 * share / (0.5 + sqrt(0.25 + 2 * share)) WHEN 1 THEN 2 * share / (1.5 + sqrt(2.25 - 2 * share))
+                ELSE CASE WHEN share <= 0.5 THEN 2 * share / (0.5 + sqrt(0.25 + 4 * share)) ELSE 0.5 + (share - 0.5) * 2 / (1.5 + sqrt(2.25 - 4 * (share - 0.5))) END END, 9) END AS position
+        FROM p
+    """,
     "op9_decontamination": r"""
         WITH words AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
         w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM words),

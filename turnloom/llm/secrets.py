@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key
+from .common import cut, packed, row_key, unpacked
 
 SCOPE = 256
 SUM_BLOCK = 64
@@ -55,10 +55,15 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _running(lengths: Column) -> Column:
-    """[(start, end)] of the matches from [(gap before, length)], block by block."""
+    """[(start, end)] of the matches from [(gap before, length)], block by block; a block begins at the sum of the blocks before it."""
+    last = ((F.size(lengths) - 1) / SUM_BLOCK).cast("int")
+    total = lambda c: F.aggregate(F.slice(lengths, c * SUM_BLOCK + 1, F.lit(SUM_BLOCK)), F.lit(0), lambda s, x: s + x["gap"] + x["len"])
+    return _let(F.transform(F.sequence(F.lit(0), last), total), lambda sums: _blocks(lengths, sums))
 
-    def block(c: Column) -> Column:
-        base = F.aggregate(F.slice(lengths, F.lit(1), c * SUM_BLOCK), F.lit(0), lambda s, x: s + x["gap"] + x["len"])
+
+def _blocks(lengths: Column, sums: Column) -> Column:
+    def block(_: Column, c: Column) -> Column:
+        base = F.aggregate(F.slice(sums, F.lit(1), c), F.lit(0), lambda s, x: s + x)
         first = F.struct(base.alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
         step = lambda s, x: F.struct(
             (s["at"] + x["gap"] + x["len"]).alias("at"),
@@ -66,7 +71,7 @@ def _running(lengths: Column) -> Column:
         )
         return F.aggregate(F.slice(lengths, c * SUM_BLOCK + 1, F.lit(SUM_BLOCK)), first, step)["out"]
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), ((F.size(lengths) - 1) / SUM_BLOCK).cast("int")), block))
+    return F.flatten(F.transform(sums, block))
 
 
 def spans(text: Column, kind: str) -> Column:
@@ -134,11 +139,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     have spans (a row's key is 128 bits of its id and text).
     """
     keys = row_key("doc_id", "text")
-    scanned = cut(scan(docs.select("doc_id", "text").withColumns(keys)).drop("text"), "scanned")
+    scanned = cut(scan(docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])).drop("text"), "scanned")
     every = F.array_sort(F.concat("__certain", F.coalesce("__linked", F.array().cast(SPAN))))
-    found = scanned.join(link(scanned), "__uid", "left").withColumn("__spans", every).where(F.size("__spans") > 0)
-    found = found.select(*keys, "__spans").dropDuplicates(list(keys))
-    every = F.col("__spans")
+    found = scanned.join(link(scanned), "__uid", "left").withColumn("spans", every).where(F.size("spans") > 0)
+    found = found.select(*keys, "spans").dropDuplicates(list(keys))
+    every = F.col("spans")
 
     def merge(done: Column, s: Column) -> Column:
         last = F.element_at(done, -1)
@@ -150,8 +155,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.concat(F.array_join(F.transform(m, piece), ""), F.substring(F.col("text"), F.element_at(m, -1)["end"] + 1, F.length("text")))
 
     merged = F.aggregate(every, F.array().cast(SPAN), merge)
-    out = docs.withColumns(keys).join(found.hint("shuffle_hash"), list(keys), "left")
-    return out.withColumn("text", F.when(every.isNotNull(), _let(merged, rebuild)).otherwise(F.col("text"))).select(*docs.columns)
+    out = packed(docs, text=F.col("text"), **keys).join(found.hint("shuffle_hash"), list(keys), "left")
+    clean = F.when(every.isNotNull(), _let(merged, rebuild)).otherwise(F.col("text"))
+    return out.select(*[clean.alias(c) if c.lower() == "text" else unpacked(c)[0] for c in docs.columns])
 
 
 def _between(a: Column, b: Column) -> Column:
