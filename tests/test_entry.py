@@ -18,10 +18,10 @@ def test_names():
     assert set(entry.oracle_sql()) <= set(queries) and all(callable(f) for f in queries.values()) and len(ENGINE) > 20
 
 
-@pytest.mark.parametrize("name", ["q_all_turns", "q_issues", "q_dialogue_dataset", "q_artifact_scope", "q_span_marks", "q_sheet_safe"])
+@pytest.mark.parametrize("name", ["q_all_turns", "q_issues", "q_dialogue_dataset", "q_artifact_scope", "q_span_marks", "q_sheet_safe", "q_semantic_text", "q_payload_forms", "q_request_rungs", "q_response_rungs", "q_table_errors", "q_blob_round_trip", "q_workbook_round_trip", "q_folder_of_parts", "q_lineage_climb", "q_lineage_spans", "q_lineage_report", "q_faulty_turns", "q_faulty_issues"])
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "documents", "pages"):
+    for t in ("conversations", "documents", "pages", "benchmark", "nation", "region"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)

@@ -1,5 +1,8 @@
 import copy
+import hashlib
+import io
 import json
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from turnloom.operators.project import canonicalize
 from turnloom.plans import gates
 from turnloom.plans.convert import convert, issue_summary
 from turnloom.plans.schemas import CONTRACT, ISSUES, TURNS, ProjectionError
-from turnloom.sources import sinks
+from turnloom.sources import sheet, sinks
 from turnloom.sources.tables import parquet_bytes, read_table, sniff
 
 from .test_extract import SCHEMA, entry, leave, span
@@ -159,11 +162,50 @@ def test_sinks(spark):
     assert sinks.sheet_safe(df).first()["a"] == "a b c\td"
     with pytest.raises(ValueError, match="32768"):
         sinks.check_cells(df)
-    cases = [("agent 1", "https://h/x/Some Dist.zip?q#f"), ("", "plain/name.ZIP#z"), ("--", "???"), ("a", "s3://b/" + "x" * 100 + "/"), ("a", "имя")]
-    got = spark.createDataFrame(cases, "a string, d string").select(sinks.artifact_scope_column(F.col("a"), F.col("d"))).collect()
-    assert [r[0] for r in got] == [sinks.artifact_scope(*c) for c in cases]
-    assert sinks.artifact_scope("agent 1", "https://h/x/Some Dist.zip").startswith("agent-1_Some-Dist-")
-    assert sinks.sink_settings("/base/", "a", "d")["fileSystemPath"].startswith("/base/a_d-")
+    # (agent, distributive, name, path whose digest follows)
+    cases = [
+        ("agent 1", "https://h/x/Some Dist.zip?q#f", "agent-1_Some-Dist", "/x/Some Dist.zip"), ("", "plain/name.ZIP#z", "agent_name", "plain/name.ZIP"), ("--", "???", "agent_distributive", ""),
+        ("a", "s3://b/" + "x" * 100 + "/", "a_" + "x" * 80, "/" + "x" * 100), ("a", "имя", "a_distributive", "имя"), ("agent 1", "https://h/x/Some Dist.zip", "agent-1_Some-Dist", "/x/Some Dist.zip"),
+    ]
+    want = [f"{name}-{hashlib.sha256(path.encode()).hexdigest()[:12]}" for _, _, name, path in cases]
+    got = spark.createDataFrame([c[:2] for c in cases], "a string, d string").select(sinks.artifact_scope_column(F.col("a"), F.col("d"))).collect()
+    assert [r[0] for r in got] == want and sinks.artifact_scope(spark, *cases[0][:2]) == want[0]
+    assert sinks.sink_settings(spark, "/base/", "a", "d")["fileSystemPath"].startswith("/base/a_d-")
+
+
+def test_workbooks(spark):
+    df = spark.createDataFrame([("=1+1", 7, None, True, 0.5), ("a\x01 <&> \n é😀 ", -1, "x", None, None)], "a string, n int, c string, b boolean, d double")
+    data = sinks.workbook(df, "dialogue")
+    assert sheet.read(data) == [["a", "n", "c", "b", "d"], ["=1+1", "7", None, "True", "0.5"], ["a  <&> \n é😀 ", "-1", "x", None, None]]
+    assert read_table(spark, data).collect()[0]["a"] == "=1+1"
+    with zipfile.ZipFile(io.BytesIO(data)) as pack:
+        assert sinks.DIALOGUE_SHEET in pack.read("xl/workbook.xml").decode() and b"<f>" not in pack.read("xl/worksheets/sheet1.xml")
+    assert read_table(spark, sheet.write("t", ["only"], [])).collect() == []
+
+
+def test_a_foreign_workbook(spark):
+    """Shared texts, cell references with gaps, and a sheet of another name."""
+    out, ns = io.BytesIO(), sheet.MAIN
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(out, "w") as pack:
+        pack.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}" xmlns:r="{rel}"><sheets><sheet name="z" sheetId="4" r:id="r9"/></sheets></workbook>')
+        pack.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r9" Target="/xl/worksheets/odd.xml"/></Relationships>')
+        pack.writestr("xl/sharedStrings.xml", f'<sst xmlns="{ns}"><si><t>a</t></si><si><r><t>b</t></r><r><t>c</t></r></si></sst>')
+        pack.writestr("xl/worksheets/odd.xml", f'<worksheet xmlns="{ns}"><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row><c r="C2"><v>4</v></c></row></sheetData></worksheet>')
+    assert sheet.read(out.getvalue()) == [["a", None, "bc"], [None, None, "4"]]
+    assert [tuple(r) for r in read_table(spark, out.getvalue()).collect()] == [(None, None, "4")]
+
+
+def test_folders_by_their_scheme(spark, tmp_path):
+    """A folder by a path with a scheme is read as the bare path is: hidden files are passed over, underscores are not."""
+    (tmp_path / "deep").mkdir()
+    one = lambda i: parquet_bytes(spark.createDataFrame([(i, str(i))], "i int, s string"))
+    for name, data in (("part", one(1)), ("deep/_x.parquet", one(2)), (".h", one(3)), ("_SUCCESS", b""), ("note.txt", b"hello")):
+        (tmp_path / name).write_bytes(data)
+    for path in (str(tmp_path), tmp_path.as_uri()):
+        assert sorted(r["i"] for r in read_table(spark, path).collect()) == [1, 2]
+    assert [r["i"] for r in read_table(spark, f"{tmp_path.as_uri()}/deep/_x.parquet").collect()] == [2]
+    assert [tuple(r) for r in read_table(spark, [{"a": 1}, {"b": "x"}]).collect()] == [(1, None), (None, "x")]
 
 
 def test_issue_summary(spark):
@@ -177,7 +219,9 @@ def test_convert(spark):
     out = convert(spark, data, metric(method="identity"), VERDICT, {"solution_version": "v1"})
     assert out["dataset"].columns[0] == "solution_version" and out["dataset"].count() == 1
     assert out["report"]["status"] == "partial" and out["report"]["conservation"]["unpublished_turns"] == 1
-    assert read_table(spark, out["parquet"]).first()["output_answer"] == "a"
+    assert out["parquet"] is None
+    packed = convert(spark, data, metric(method="identity"), VERDICT, {"solution_version": "v1"}, pack=True)
+    assert read_table(spark, packed["parquet"]).first()["output_answer"] == "a" == read_table(spark, packed["workbook"]).first()["output_answer"]
     with pytest.raises(ValueError, match="no complete turns"):
         convert(spark, data.where("span_id like 'in-%'"), metric(method="identity"), ignore_checks=True)
 

@@ -33,7 +33,7 @@ def test_lineage_datasets_hold_all_sessions(spark):
             want.add((f"s{c}", f"t-{c}-{k}", *pair, "", str({"final_response": [ans]}) if f == 4 and ans is not None else None))
     got = [tuple(r) for r in Q.q_lineage_qa(spark, SF).collect()]
     assert len(got) == len(want) and set(got) == want
-    assert {r["session_id"]: r["n_turns"] for r in Q.q_lineage_all_dialogues(spark, SF).collect()} == sessions
+    assert {r["session_id"]: r["n_turns"] for r in Q.q_lineage_dialogues(spark, SF).collect()} == sessions
 
 
 def test_semantic_text_of_every_row(spark, tmp_path):
@@ -41,7 +41,7 @@ def test_semantic_text_of_every_row(spark, tmp_path):
     rows = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")
     odd = spark.createDataFrame([(-1, i, "user", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
     rows.union(odd).write.parquet(f"{tmp_path}/conversations.parquet")
-    got = Q.q_semantic_whole_text(spark, str(tmp_path)).collect()
+    got = Q.q_semantic_text(spark, str(tmp_path)).collect()
     fold = lambda t: re.sub(r"\s+", " ", (t or "").strip()).casefold()
     assert sorted(tuple(r) for r in got) == sorted((r["conv_id"], r["turn"], fold(r["text"])) for r in rows.union(odd).collect())
 
@@ -52,7 +52,7 @@ def test_sheet_safe_takes_whole_texts(spark, tmp_path):
     rows.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
     clean = lambda t: re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ", f"=\x01{t}\x0b.")
     want = {r["doc_id"]: None if r["text"] is None else clean(r["text"]) for r in rows.union(odd).collect()}
-    got = Q.q_sheet_safe_whole(spark, str(tmp_path)).collect()
+    got = Q.q_sheet_safe(spark, str(tmp_path)).collect()
     assert len(got) == len(want) and {r["doc_id"]: r["cell"] for r in got} == want
 
 

@@ -102,3 +102,69 @@ def with_injected_faults(spans: DataFrame) -> DataFrame:
     respaced = kept.where(entry & (conv % 5 == 0)).withColumns({"input_text": F.replace("input_text", F.lit(" "), F.lit("  ")), "span_id": F.concat(F.lit("twin-"), "span_id"), "start_time_ns": F.col("start_time_ns") + 10})
     changed = kept.where(leave & (conv % 7 == 0)).withColumns({"output_text": F.regexp_replace("output_text", '"value":"', '"value":"changed '), "span_id": F.concat(F.lit("twin-"), "span_id")})
     return kept.unionByName(respaced).unionByName(changed)
+
+
+def with_failing_gates(spans: DataFrame) -> DataFrame:
+    """Spans in which every gate fails somewhere.
+
+    Exchange conversations by (c div 6) % 11: 0 as they are; 1 no session; 2 another session on the
+    exit; 3 none on the exit; 4 no time on the entry; 5 an exit before its entry; 6 a failure without text;
+    7 an entry without a span id; 8 a route by the receiver alone; 9 an answer without text; 10 no exit, and the
+    trace's last state says the same.  Parent conversations by (c div 6) % 3: 1 a second boundary in the trace.
+    """
+    own = spans.where(F.col("agent_id") == AGENT)
+    c, k = F.substring("session_id", 2, 20).cast("bigint"), F.element_at(F.split("span_id", "-"), -1)
+    own = own.withColumns({"c": c, "k": k, "v": F.when(c % 6 == 0, F.floor(c / 6) % 11), "entry": F.col("span_id").startswith("in-"), "exit": F.col("span_id").startswith("out-")})
+    at = lambda v, side=None: (F.col("v") == v) & (F.col(side) if side else F.lit(True))
+    conversation, lit = F.concat(F.lit("c"), F.col("c").cast("string")), F.lit
+
+    def mute(act: str) -> Column:
+        return _json(outgoing=_envelope(performative=lit(act), conversation_id=conversation, in_reply_to=F.concat(lit("r"), "k"), sender=lit("agent"), receiver=lit("user"), content=F.struct(F.array().cast("array<string>").alias("message"))))
+
+    hand = _json(outgoing=_envelope(performative=lit("request"), conversation_id=conversation, reply_with=F.concat(lit("d"), "k"), sender=lit("agent"), receiver=lit("worker"), content=_parts(lit("go on"))))
+    session = F.when(at(1) | at(3, "exit"), "").when(at(2, "exit"), F.concat(lit("z"), F.col("c").cast("string"))).otherwise(F.col("session_id"))
+    start = F.when(at(4, "entry"), None).when(at(5, "exit"), F.col("start_time_ns") - 500_000_001).otherwise(F.col("start_time_ns"))
+    output = F.when(at(6, "exit"), mute("failure")).when(at(9, "exit"), mute("inform")).when(at(8, "entry"), hand).otherwise(F.col("output_text"))
+    changed = own.where(~at(10, "exit") | F.col("v").isNull()).withColumns({"session_id": session, "start_time_ns": start, "output_text": output, "span_id": F.when(at(7, "entry"), " ").otherwise(F.col("span_id"))})
+    # the state that publishes what an exchange without an exit asked
+    said = F.get_json_object("output_text", "$.outgoing.content.message[0].value")
+    asked = own.where(at(10, "entry")).select("c", "k", F.get_json_object("input_text", "$.message.content.message[0].value").alias("text"))
+    state = own.where(at(10, "exit")).withColumn("ans", said).join(asked, ["c", "k"])
+    key = F.concat_ws("-", F.col("c").cast("string"), "k")
+    state = state.withColumns(
+        {
+            "trace_id": F.concat(lit("t-"), key), "span_id": F.concat(lit("state-"), key), "aef_kind": lit("chain"), "span_name": lit("step"), "input_text": lit(None).cast("string"),
+            "output_text": _json(stage=lit("__end__"), product_agent=lit("gamma"), message_to_user=F.col("ans"), messages=F.array(F.struct(lit("user").alias("role"), F.col("text").alias("content")))),
+        }
+    )
+    second = own.where((F.col("c") % 6 == 3) & (F.floor(F.col("c") / 6) % 3 == 1))
+    twin = lambda column: F.regexp_replace(F.regexp_replace(column, '("value":"(?!(?:alpha|beta|gamma)"))', "$1twin "), '("query":"[a-z]+ )', "$1twin ")
+    second = second.withColumns({"span_id": F.concat(lit("twin-"), "span_id"), "parent_span_id": F.concat(lit("twin-"), "parent_span_id"), "input_text": twin("input_text"), "output_text": twin("output_text")})
+    return changed.select(*spans.columns).unionByName(state.select(*spans.columns)).unionByName(second.select(*spans.columns))
+
+
+def climbing_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By user turn a started agent without an answer, under one to three chain spans and, above these, an HTTP boundary
+    that has the same question and, where there is one, the answer."""
+    rows = question_answer(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    key, lit, text = F.concat_ws("-", F.col("c").cast("string"), F.col("k").cast("string")), F.lit, F.col("text")
+    depth = F.col("k") % 3 + 1
+
+    def span(name: str, kind: str, title: str, inp: Column, out: Column, parent: Column, later: int) -> Column:
+        return F.struct(
+            F.concat(lit("t-"), key).alias("trace_id"), F.concat(lit(f"{name}-"), key).alias("span_id"), lit(AGENT).alias("agent_id"), F.concat(lit("s"), F.col("c").cast("string")).alias("session_id"),
+            lit(kind).alias("aef_kind"), lit(title).alias("span_name"), inp.cast("string").alias("input_text"), out.cast("string").alias("output_text"), (F.col("t") + later).cast("bigint").alias("start_time_ns"),
+            parent.cast("string").alias("parent_span_id"),
+        )
+
+    up = lambda name: F.concat(lit(f"{name}-"), key)
+    none = lit(None)
+    answered = F.when(F.col("ans").isNotNull(), _json(response=F.struct(F.struct(F.col("ans").alias("answer")).alias("body")))).otherwise(_json(status=lit("ok")))
+    spans = [
+        span("edge", "other", "POST /v1/chat", _json(body=F.struct(text.alias("query"))), answered, none, 0),
+        span("mid1", "chain", "step", none, none, up("edge"), 1),
+        F.when(depth >= 2, span("mid2", "chain", "step", none, none, up("mid1"), 2)),
+        F.when(depth >= 3, span("mid3", "chain", "step", none, none, up("mid2"), 3)),
+        span("leaf", "start_agent", "run", _json(query=text), lit("{}"), F.concat(lit("mid"), depth.cast("string"), lit("-"), key), 4),
+    ]
+    return rows.select(F.explode(F.array_compact(F.array(*spans))).alias("span")).select("span.*")

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The cluster's shared folder (spark.checkpoint.dir); where it is unset, a temporary one of a local master, else an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
         if at.isDefined():
             return at.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         found = f"file://{tempfile.mkdtemp(prefix='turnloom-')}"
         spark.sparkContext.setCheckpointDir(found)
     return found

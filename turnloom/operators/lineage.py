@@ -90,6 +90,12 @@ class Resolution:
     groups: DataFrame
     agent_id: str
 
+    def ordered(self) -> DataFrame:
+        """The spans by session, start time, trace and span id: a presentation order, costs a range exchange."""
+        get = lambda c: F.col(c) if c in self.spans.columns else F.lit(None)
+        text = lambda c: F.coalesce(get(c).cast("string"), F.lit(""))
+        return self.spans.orderBy(text("session_id"), F.coalesce(integer(get("start_time_ns").cast("string")), F.lit(0)), text("trace_id"), text("span_id"))
+
     def report(self) -> dict[str, Any]:
         methods = {r["method"]: r["count"] for r in self.groups.groupBy("method").count().orderBy("method").collect()}
         total, missed = sum(methods.values()), methods.get("unresolved", 0)

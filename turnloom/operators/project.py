@@ -14,7 +14,7 @@ from ..plans.schemas import CONTRACT, TURNS, ProjectionError
 
 PROJECTION_CONTRACT, PROFILE_CONTRACT = "turn-projection.v1", "dataset-profile.v1"
 #: Names that a prediction or target column must not take.
-RESERVED = frozenset("session_id query_id input_query output_answer scenario input_query_count reference_group_id turn_index".split())
+RESERVED = frozenset(("session_id", "query_id", "input_query", "output_answer", "scenario", "input_query_count", "reference_group_id", "turn_index"))
 REPEATED_SHARE, REPEATED_LEAST = 0.01, 5
 #: One turn of a packed dialogue.
 TRIPLE = "struct<query_id:string,input_query:string,output_answer:string>"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.project import canonicalize
-from ..sources.sinks import check_cells, sheet_safe, sink_settings, workbook
+from ..sources.sinks import sink_settings, workbook
 from ..sources.tables import parquet_bytes, read_table
 from .extract import Config, extract_turns
 from .gates import METRIC_CONTRACT, check_metric, check_verdict, read_selection
@@ -17,6 +17,8 @@ from .schemas import ExtractionError
 
 REPORT_CONTRACT = "trace-conversion.v1"
 MAX_EXAMPLES = 100
+#: A worksheet holds so many rows, its header among them.
+MAX_PACKED = 1_048_575
 
 
 def issue_summary(issues: DataFrame, limit: int = MAX_EXAMPLES) -> dict[str, Any]:
@@ -35,12 +37,11 @@ def convert(
     ignore_checks: bool = False,
     output_base: str = "traces_based_datasets",
     metric_contract: str = METRIC_CONTRACT,
-    pack: bool = True,
+    pack: bool = False,
 ) -> dict[str, Any]:
     """{dataset, report, parquet, workbook, settings}; without `pack` the two blobs are None.
 
-    `workbook` is None as well where openpyxl is missing; the limits of its cells are
-    checked all the same.
+    Blobs are made in this process, of at most MAX_PACKED rows; larger results are written with `dataset.write`.
     """
     if not isinstance(ignore_checks, bool):
         raise ValueError("ignore_checks must be a boolean")
@@ -64,13 +65,10 @@ def convert(
     dataset = projected.result.select(F.lit(version).alias("solution_version"), "*") if version else projected.result
     parquet = book = None
     if pack:
+        if projected.report["rows"] > MAX_PACKED:
+            raise ValueError(f"{projected.report['rows']} rows are too many to pack; write the dataset instead")
         parquet = parquet_bytes(dataset)
-        check_cells(sheet_safe(dataset))
-        try:
-            book = workbook(dataset, metric["assessment_mode"])
-        except ValueError as e:
-            if "openpyxl" not in str(e):
-                raise
+        book = workbook(dataset, metric["assessment_mode"])
     clock.append(perf_counter())
     lacking = projected.report["missing_scoring_sources"]
     warnings = [f"not ready for direct scoring: missing {', '.join(lacking)}"] * bool(lacking) + ["partial: only proven complete turns are published"] * partial
@@ -79,7 +77,7 @@ def convert(
         "dataset": dataset,
         "parquet": parquet,
         "workbook": book,
-        "settings": sink_settings(output_base, report["agent_id"], distributive),
+        "settings": sink_settings(spark, output_base, report["agent_id"], distributive),
         "report": {
             "contract_version": REPORT_CONTRACT,
             "status": "partial" if partial else "complete" if projected.report["ready_for_scoring"] else "not_ready",

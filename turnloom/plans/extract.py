@@ -25,6 +25,10 @@ from ..operators.common import HTTP, MARKER, issue, outer
 from .schemas import CONTRACT, OPTIONAL_SPAN_COLUMNS, SPAN_COLUMNS, ExtractionError
 
 
+#: The report names at most so many counterparts, those of most conversations, and tells how many there are.
+MAX_PARTIES = 1000
+
+
 @dataclass(frozen=True)
 class Config:
     """agent_id: blank where the table holds one agent only; max_issue_examples caps the examples of trace-level issues, None leaves them all."""
@@ -338,7 +342,7 @@ def build_report(x: Extraction) -> dict[str, Any]:
         keys + m["malformed_entry_rows"] + m["malformed_exit_rows"] + m["failures_without_text"] + m["aef_candidate_boundaries"]
         + m["parent_boundary_complete_turns"] + m["semantic_terminal_complete_turns"] + m["state_json_candidate_turns"]
     )
-    parties = {r["party"]: r["conversations"] for r in x.counterparts.orderBy(F.desc("conversations"), "party").collect()}
+    parties = {r["party"]: r["conversations"] for r in x.counterparts.orderBy(F.desc("conversations"), "party").limit(MAX_PARTIES).collect()}
     strategies = {r["schema_version"]: r["count"] for r in x.turns.groupBy("schema_version").count().orderBy("schema_version").collect()}
     return m | {
         "contract_version": CONTRACT,
@@ -347,6 +351,7 @@ def build_report(x: Extraction) -> dict[str, Any]:
         "candidate_turn_keys": asked,
         "fipa_extraction_coverage": m["fipa_complete_turns"] / keys if keys else 0.0,
         "extraction_coverage": complete / asked if asked else 0.0,
+        "counterpart_count": x.counterparts.count(),
         "counterparts": list(parties),
         "counterpart_conversations": parties,
         "strategies": strategies,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from typing import Any
 
 METRIC_CONTRACT = "monitoring-metric.v2"
@@ -36,42 +37,56 @@ def _count(value: object) -> bool:
     return isinstance(value, int) and not isinstance(value, bool)
 
 
+def _at(value: Any, path: str) -> Any:
+    """What lies at a path of keys and places, or None."""
+    for key in path.split("/") if path else ():
+        if isinstance(value, list):
+            value = value[int(key)] if key.isdigit() and int(key) < len(value) else None
+        else:
+            value = value.get(key) if isinstance(value, dict) else None
+    return value
+
+
+def _criterion(c: Any) -> bool:
+    return isinstance(c, dict) and c.get("tone") in ("good", "warn", "bad") and bool(clean(c.get("result"))) and bool(clean(c.get("title")))
+
+
+def _graded(items: Any) -> bool:
+    return isinstance(items, list) and bool(items) and all(_at(r, "verdict") in ("ready", "pilot", "not_ready") for r in items)
+
+
+#: What a verdict must satisfy: (path, test of what lies there, message).  Shapes come before what is read of them.
+VERDICT_RULES: tuple[tuple[str, Callable[[Any], bool], str], ...] = (
+    ("", lambda v: isinstance(v, dict), "the verdict is not an object"),
+    *((k, lambda v: v is not None, f"the verdict lacks {k}") for k in ("schema", "quality", "criteria", "readiness", "metrics")),
+    (f"schema/{CRITICAL}", _count, "needs a whole number"),
+    ("quality", lambda q: isinstance(q, list) and len(q) == 1 and isinstance(q[0], dict), "needs one object"),
+    *((f"quality/0/{f}", lambda n: _count(n) and n >= 0, "must be a whole number of 0 or more") for f in QUALITY),
+    ("quality/0", lambda q: q["rule_violations"] == q["blocking_rule_violations"] + q["advisory_rule_violations"], "violations don't add up"),
+    *((f"criteria/{k}", _criterion, "is malformed") for k in CRITERIA),
+    ("readiness", _graded, "is malformed"),
+    *((f"metrics/{k}", lambda m: isinstance(m, dict), "is needed") for k in ("policy", "gates")),
+    (f"schema/{CRITICAL}", lambda n: n == 0, "the traces fail the schema check K1"),
+    ("quality/0/valid", lambda v: v is True, "the traces fail the quality check"),
+    *((f"criteria/{k}/tone", lambda tone: tone != "bad", f"the traces fail {k}") for k in BLOCKING),
+)
+
+
 def check_verdict(verdict: object, ignore: bool = False) -> dict[str, Any]:
     """What the trace validation allows; ValueError where it blocks or is malformed."""
     if ignore:
         return {"scope": "bypassed", "status": "bypassed", "non_gating_criteria": {}}
     _need(verdict is not None, "no trace verdict; set ignore to go without one")
-    _need(isinstance(verdict, dict), "the verdict is not an object")
-    missing = {"schema", "quality", "criteria", "readiness", "metrics"} - set(verdict)
-    _need(not missing, f"the verdict lacks {sorted(missing)}")
-    schema = verdict["schema"]
-    _need(isinstance(schema, dict) and _count(schema.get(CRITICAL)), f"verdict.schema needs the whole number {CRITICAL!r}")
-    _need(not schema[CRITICAL], "the traces fail the schema check K1")
-    quality = verdict["quality"]
-    _need(isinstance(quality, list) and len(quality) == 1 and isinstance(quality[0], dict), "verdict.quality needs one object")
-    q = quality[0]
-    for f in QUALITY:
-        _need(_count(q.get(f)) and q[f] >= 0, f"verdict.quality[0].{f} must be a whole number of 0 or more")
-    _need(q["rule_violations"] == q["blocking_rule_violations"] + q["advisory_rule_violations"], "verdict.quality: violations don't add up")
-    _need(q.get("valid") is True, "the traces fail the quality check")
+    for path, test, message in VERDICT_RULES:
+        _need(test(_at(verdict, path)), f"verdict{'.' * bool(path)}{path.replace('/', '.')}: {message}")
     criteria = verdict["criteria"]
-    _need(isinstance(criteria, dict) and set(CRITERIA) <= set(criteria), "verdict.criteria needs K1 to K8")
-    for k in CRITERIA:
-        c = criteria[k]
-        _need(isinstance(c, dict) and c.get("tone") in ("good", "warn", "bad") and bool(clean(c.get("result"))) and bool(clean(c.get("title"))), f"verdict.criteria.{k} is malformed")
-    bad = [k for k in BLOCKING if criteria[k]["tone"] == "bad"]
-    _need(not bad, f"the traces fail {', '.join(bad)}")
-    ready = verdict["readiness"]
-    _need(isinstance(ready, list) and bool(ready) and all(isinstance(r, dict) and r.get("verdict") in ("ready", "pilot", "not_ready") for r in ready), "verdict.readiness is malformed")
-    metrics = verdict["metrics"]
-    _need(isinstance(metrics, dict) and isinstance(metrics.get("policy"), dict) and isinstance(metrics.get("gates"), dict), "verdict.metrics needs policy and gates")
     warned = [k for k in BLOCKING if criteria[k]["tone"] == "warn"]
     return {
         "scope": "K1-K6",
         "status": "passed_with_warnings" if warned else "passed",
         "warning_criteria": warned,
-        "non_gating_criteria": {k: criteria[k] for k in ("K7", "K8")},
-        "readiness": ready,
+        "non_gating_criteria": {k: criteria[k] for k in CRITERIA if k not in BLOCKING},
+        "readiness": verdict["readiness"],
     }
 
 

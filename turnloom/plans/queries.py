@@ -157,18 +157,13 @@ def q_turn_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_repeated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On documents, which hold copies: texts that occur five times or more, or in 1 % of the rows."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("output_answer"))
+    """Languages and sources of documents as answers: those of five rows or more and of 1 % of all."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.concat_ws(" ", "lang", "source").alias("output_answer"))
     return repeated_answers(docs, docs.count())
 
 
 def q_semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heads of texts without eszett, as its SQL has them; `q_semantic_whole_text` has all of every text."""
-    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("text").where(~F.col("text").contains("ß"))
-    return rows.groupBy(F.substring(semantic(F.col("text")), 1, 20).alias("head")).agg(F.count("*").alias("n"))
-
-
-def q_semantic_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison form of every text."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return rows.select("conv_id", "turn", semantic(F.col("text")).alias("text"))
 
@@ -184,12 +179,7 @@ def q_span_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sheet_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells of the texts' heads, as its SQL has them; `q_sheet_safe_whole` has the whole texts."""
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.concat(F.lit("=\x01"), F.substring("text", 1, 30), F.lit("\x0b.")).alias("cell"))
-    return sheet_safe(rows)
-
-
-def q_sheet_safe_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts between control characters, as cells."""
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.concat(F.lit("=\x01"), "text", F.lit("\x0b.")).alias("cell"))
     return sheet_safe(rows)
 
@@ -228,12 +218,7 @@ def _lengths(dialogues: DataFrame) -> DataFrame:
 
 
 def q_lineage_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The family with closing answers alone, as its SQL has it; `q_lineage_all_dialogues` has all sessions."""
-    spans = spans_from_conversations(spark, sf_dir)
-    return _lengths(_dataset(spans.where(F.col("session_id").substr(2, 20).cast("bigint") % 6 == 4)).dialogues())
-
-
-def q_lineage_all_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of every session's dialogue."""
     return _lengths(_dataset(spans_from_conversations(spark, sf_dir)).dialogues())
 
 
@@ -284,8 +269,8 @@ ORACLES: dict[str, str] = {
     "q_flat_dataset": f"{PAIRS}, {_TURNS} SELECT route_label AS scenario, session_id, turn_id AS query_id, 1 AS input_query_count, input_query, agent_response AS output_answer FROM turns",
     "q_dialogue_dataset": f"{PAIRS}, {_TURNS} SELECT session_id, count(*) AS n_turns, string_agg(turn_id || ' / ' || input_query || ' / ' || agent_response, ' // ' ORDER BY entry_time_ns, turn_id) AS dialogue, count(DISTINCT route_label) = 1 AS constant FROM turns GROUP BY 1",
     "q_turn_latency": f"{PAIRS}, {_TURNS} SELECT session_id, min(turn_latency_ms) AS least, max(turn_latency_ms) AS most, count(*) AS n FROM turns GROUP BY 1",
-    "q_repeated_answers": "SELECT text AS output_answer, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) >= greatest((SELECT count(*) FROM documents) * 0.01, 5)",
-    "q_semantic_text": "SELECT substr(lower(regexp_replace(text, '\\s+', ' ', 'g')), 1, 20) AS head, count(*) AS n FROM conversations WHERE text NOT LIKE '%ß%' GROUP BY 1",
+    "q_repeated_answers": "SELECT concat_ws(' ', lang, source) AS output_answer, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) >= greatest((SELECT count(*) FROM documents) * 0.01, 5)",
+    "q_semantic_text": r"SELECT conv_id, turn, replace(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), 'ß', 'ss') AS text FROM conversations",
     "q_agent_filter": f"{PAIRS}, s AS ({_SPANS_OF}) SELECT 's' || c AS session, sum(n)::BIGINT AS n FROM s GROUP BY 1",
     "q_span_marks": f"""{PAIRS}, s AS (
         SELECT 'in' AS span, true AS candidate, true AS outer_, false AS state_likely, false AS closing_likely FROM p WHERE f = 0
@@ -297,12 +282,10 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'plan', false, false, true, true FROM p WHERE f = 5
         UNION ALL SELECT 'state', false, false, true, true FROM p WHERE f = 5 AND ans IS NOT NULL)
         SELECT span, candidate, outer_ AS "outer", state_likely, closing_likely, count(*) AS n FROM s GROUP BY ALL""",
-    "q_sheet_safe": "SELECT doc_id, '= ' || substr(text, 1, 30) || ' .' AS cell FROM documents",
+    "q_sheet_safe": r"SELECT doc_id, '= ' || regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', ' ', 'g') || ' .' AS cell FROM documents",
     "q_long_cells": f"SELECT doc_id, length(text)::BIGINT AS length FROM documents WHERE length(text) > {CELL_LIMIT}",
     "q_artifact_scope": """
         WITH u AS (SELECT page_id, rtrim(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)', 1), '/') AS source FROM pages),
         v AS (SELECT page_id, source, regexp_replace(regexp_replace(regexp_replace(string_split(source, '/')[-1], '(?i)\\.zip$', ''), '[^A-Za-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g') AS leaf FROM u)
         SELECT page_id, 'agent-1_' || CASE WHEN leaf = '' THEN 'distributive' ELSE substr(leaf, 1, 80) END || '-' || substr(sha256(source), 1, 12) AS scope FROM v""",
-    # q_lineage_qa has none: a module's text is Python's own rendering of a list
-    "q_lineage_dialogues": f"{PAIRS} SELECT 's' || c AS session_id, count(*) AS n_turns, '' AS score FROM p WHERE f = 4 GROUP BY 1",
 }

@@ -22,13 +22,13 @@ FAMILY = {
 }
 
 TURNS = T.StructType(
-    [T.StructField(n, T.StringType()) for n in "turn_id session_id input_query agent_response route_label schema_family schema_version entry_trace_id exit_trace_id entry_span_id exit_span_id".split()]
+    [T.StructField(n, T.StringType()) for n in ("turn_id", "session_id", "input_query", "agent_response", "route_label", "schema_family", "schema_version", "entry_trace_id", "exit_trace_id", "entry_span_id", "exit_span_id")]
     + [T.StructField(n, T.LongType()) for n in ("entry_time_ns", "exit_time_ns")]
     + [T.StructField(n, T.BooleanType()) for n in ("same_trace", "same_session", "route_chain_complete")]
     + [T.StructField("turn_latency_ms", T.DoubleType())]
     + [T.StructField(n, T.StringType()) for n in ("query_source_path", "response_source_path", "route_source_path")]
 )
-ISSUES = T.StructType([T.StructField(n, T.StringType()) for n in "issue_code severity schema_version turn_id trace_id span_id details".split()])
+ISSUES = T.StructType([T.StructField(n, T.StringType()) for n in ("issue_code", "severity", "schema_version", "turn_id", "trace_id", "span_id", "details")])
 
 
 class ExtractionError(ValueError):

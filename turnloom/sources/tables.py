@@ -10,8 +10,10 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.tables import shared_dir
+from . import sheet
 
 #: Signatures of the accepted formats.
 SIGNATURES = {b"PAR1": "parquet", b"PK\x03\x04": "xlsx"}
@@ -22,20 +24,39 @@ def sniff(head: bytes) -> str | None:
     return next((name for magic, name in SIGNATURES.items() if head.startswith(magic)), None)
 
 
-def _head(path: Path) -> bytes:
-    with open(path, "rb") as f:
-        return f.read(8)
+def _at(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop has them; a bare path is a local one."""
+    text = path if "://" in path else Path(path).absolute().as_uri()
+    at = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def _xlsx(spark: SparkSession, source) -> DataFrame:
-    """First sheet of a workbook; needs openpyxl."""
+def _head(fs, at, n: int = 4) -> bytes:
+    """The first bytes of a file on any file system."""
+    stream = fs.open(at)
     try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise ValueError("xlsx tables need the package openpyxl") from e
-    import pandas as pd
+        read = [stream.read() for _ in range(n)]
+    finally:
+        stream.close()
+    return bytes(b for b in read if b >= 0)
+
+
+def _read_all(spark: SparkSession, fs, at) -> bytes:
+    """A whole file; for workbooks, which one process parses."""
+    stream = fs.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
 
-    return spark.createDataFrame(pd.read_excel(source, dtype=object).astype("string"))
+
+def _xlsx(spark: SparkSession, data: bytes) -> DataFrame:
+    """First sheet of a workbook, all columns as text; a workbook is bounded by its format (1,048,576 rows)."""
+    header, *rows = sheet.read(data) or [[]]
+    names = [h or f"column{i}" for i, h in enumerate(header)]
+    schema = StructType([StructField(n, StringType()) for n in names])
+    width = len(names)
+    return spark.createDataFrame([tuple((r + [None] * width)[:width]) for r in rows], schema)
 
 
 def _bytes_parquet(spark: SparkSession, data: bytes) -> DataFrame:
@@ -60,41 +81,64 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _folder(spark: SparkSession, path: Path, port: str) -> DataFrame:
-    files = sorted(p for p in path.rglob("*") if p.is_file() and not any(x.startswith(".") for x in p.relative_to(path).parts))
-    found = [(p, kind) for p in files if (kind := sniff(_head(p)))]
+def _folder(spark: SparkSession, path: str, port: str) -> DataFrame:
+    """All parts of a folder, by their signatures, on any file system; names that begin with a dot are hidden."""
+    fs, root = _at(spark, path)
+    base, found, listed = root.toUri().getPath().rstrip("/"), [], fs.listFiles(root, True)
+    while listed.hasNext():
+        at = listed.next().getPath()
+        inner = at.toUri().getPath()[len(base) + 1 :]
+        if any(part.startswith(".") for part in inner.split("/")):
+            continue
+        if kind := sniff(_head(fs, at)):
+            found.append((inner, kind, at))
     if not found:
         raise FileNotFoundError(f"{port}: no table in the folder {path}")
-    parquet = [str(p) for p, kind in found if kind == "parquet"]
-    frames = [spark.read.option("mergeSchema", "true").parquet(*parquet)] if parquet and not any(os.path.basename(p).startswith("_") for p in parquet) else []
-    if parquet and not frames:
-        # names with an underscore are skipped by Spark's listing: those parts are read as blobs
-        frames = [_bytes_parquet(spark, Path(p).read_bytes()) if os.path.basename(p).startswith("_") else spark.read.parquet(p) for p in parquet]
-    return _union(frames + [_xlsx(spark, p) for p, kind in found if kind == "xlsx"])
+    found.sort(key=lambda f: f[0])
+    parquet = [_visible(spark, fs, at) for _, kind, at in found if kind == "parquet"]
+    frames = [spark.read.option("mergeSchema", "true").parquet(*parquet)] if parquet else []
+    return _union(frames + [_xlsx(spark, _read_all(spark, fs, at)) for _, kind, at in found if kind == "xlsx"])
+
+
+def _visible(spark: SparkSession, fs, at) -> str:
+    """The path of a part; one whose name begins with an underscore, which Spark's listing skips, is copied to the
+    shared folder, stream to stream."""
+    if not any(part.startswith("_") for part in at.toUri().getPath().split("/")):
+        return at.toString()
+    jvm = spark._jvm
+    copy = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/part-{uuid.uuid4().hex}.parquet")
+    conf = spark._jsc.hadoopConfiguration()
+    target = copy.getFileSystem(conf)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, target, copy, False, conf)
+    target.deleteOnExit(copy)
+    return copy.toString()
 
 
 def read_table(spark: SparkSession, value: object, port: str = "table") -> DataFrame:
-    """A DataFrame from a Spark or pandas frame, bytes, a file or a folder of parts.
+    """A DataFrame from a Spark or pandas frame, a list of dicts, bytes, a file or a folder of parts.
 
-    Text with a scheme (hdfs://, s3a://, file://, ...) is left to Spark's Parquet reader, which
-    reaches what this process does not.  ValueError: unknown format; FileNotFoundError:
-    nothing to read; TypeError: not a table.
+    A path with a scheme (hdfs://, s3a://, file://, ...) is listed and read by the file system of that scheme, as
+    a local one is.  ValueError: unknown format; FileNotFoundError: nothing to read; TypeError: not a table.
     """
     if isinstance(value, DataFrame):
         return value
     if hasattr(value, "iloc") and hasattr(value, "columns"):
         return spark.createDataFrame(value)
+    if isinstance(value, list) and value and all(isinstance(r, dict) for r in value):
+        names = list(dict.fromkeys(k for r in value for k in r))
+        return spark.createDataFrame([tuple(r.get(n) for n in names) for r in value], names)
     if isinstance(value, bytes | bytearray):
         return _BY_KIND_BYTES.get(sniff(bytes(value[:8])), _unknown(port))(spark, bytes(value))
-    if isinstance(value, str) and "://" in value:
-        return spark.read.parquet(value)
     if isinstance(value, str | os.PathLike):
-        path = Path(value)
-        if path.is_dir():
-            return _folder(spark, path, port)
-        if not path.exists():
-            raise FileNotFoundError(f"{port}: {path} doesn't exist")
-        return _BY_KIND_FILE.get(sniff(_head(path)), _unknown(port))(spark, path)
+        fs, at = _at(spark, os.fspath(value))
+        if not fs.exists(at):
+            raise FileNotFoundError(f"{port}: {value} doesn't exist")
+        if fs.getFileStatus(at).isDirectory():
+            return _folder(spark, os.fspath(value), port)
+        kind = sniff(_head(fs, at))
+        if kind == "parquet":
+            return spark.read.parquet(_visible(spark, fs, at))
+        return _xlsx(spark, _read_all(spark, fs, at)) if kind else _unknown(port)(spark, value)
     raise TypeError(f"{port}: {type(value).__name__} is not a table")
 
 
@@ -105,8 +149,7 @@ def _unknown(port: str) -> Callable:
     return fail
 
 
-_BY_KIND_BYTES = {"parquet": _bytes_parquet, "xlsx": lambda spark, data: _xlsx(spark, io.BytesIO(data))}
-_BY_KIND_FILE = {"parquet": lambda spark, path: spark.read.parquet(str(path)), "xlsx": lambda spark, path: _xlsx(spark, path)}
+_BY_KIND_BYTES = {"parquet": _bytes_parquet, "xlsx": _xlsx}
 
 
 def parquet_bytes(df: DataFrame) -> bytes:
