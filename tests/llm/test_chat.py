@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from turnloom.llm import chat
 
@@ -69,3 +70,41 @@ def test_matrices_agree_with_steps():
         halves = chat.decode(roles[:cut], chat.START, a) + chat.decode(roles[cut:], a, None) if cut else chat.decode(roles, chat.START, None)
         names = [None, "system", "user", "assistant"]
         assert sum(h[0] for h in halves) + chat.ending(halves[-1][1] if halves else 0)[0] == cheapest([names[r] or "?" for r in roles])
+
+
+def least_of_all(roles):
+    """The least cost over every way to give each message a role, to merge it, and to fill the gaps of a legal conversation."""
+    legal = [head + ["user", "assistant"] * n for head in ([], ["system"]) for n in range(1, 7)]
+    known = {"system": "system", "user": "user", "assistant": "assistant", "gpt": "assistant"}
+
+    def gaps(turns):
+        fits = [len(s) - len(turns) for s in legal if all(any(t == x for x in it) for it in [iter(s)] for t in turns)]
+        return min(fits, default=None)
+
+    best = None
+    for given in itertools.product(("system", "user", "assistant"), repeat=len(roles)):
+        change = sum(0 if known.get(r) == g else 3 if r in known else 1 for r, g in zip(roles, given, strict=True))
+        for merged in itertools.product((False, True), repeat=len(roles) - 1):
+            if any(m and given[i] != given[i + 1] for i, m in enumerate(merged)):
+                continue
+            turns = [given[0]] + [g for g, m in zip(given[1:], merged, strict=True) if not m]
+            missing = gaps(turns)
+            if missing is not None and (best is None or change + sum(merged) + 2 * missing < best):
+                best = change + sum(merged) + 2 * missing
+    return best
+
+
+def test_costs_are_the_least_of_all_repairs(spark):
+    names = ("system", "user", "assistant", "gpt", "zebra")
+    talks = [t for n in (1, 2, 3) for t in itertools.product(names, repeat=n)]
+    talks += [t for i, t in enumerate(itertools.product(names, repeat=4)) if i % 5 == 0]
+    rows = [(c, k, role, f"{c} {k}") for c, talk in enumerate(talks) for k, role in enumerate(talk)]
+    got = {r["conv_id"]: r["cost"] for r in chat.repair(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), 4).groupBy("conv_id").agg(F.sum("cost").alias("cost")).collect()}
+    assert got == {c: least_of_all(t) for c, t in enumerate(talks)}
+
+
+def test_columns_named_like_the_operator_are_ignored(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    more = turns.withColumns({c: F.lit("own") for c in ("seq", "cost", "fragment", "action", "new_role")})
+    assert sorted(map(tuple, chat.repair(more, 2).collect())) == sorted(map(tuple, chat.repair(turns, 2).collect()))

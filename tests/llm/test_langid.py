@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from turnloom.llm import kernel as K
 from turnloom.llm import langid
 from turnloom.llm.queries import op1_language_id
 
@@ -43,3 +45,29 @@ def test_svm_separates():
     y = np.where(x[:, 0] + 0.5 * x[:, 1] > 0, 1.0, -1.0)
     w = langid.svm(x, y)
     assert ((x @ w[:-1] + w[-1] > 0) == (y > 0)).mean() > 0.97
+
+
+def plain_margins(model, text):
+    """Gram by gram, with nothing vectorised; weights and constants are the model's."""
+    data = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalpha() else c for c in text.encode())
+    total, out = 0, np.zeros(len(model.machines))
+    for order in (2, 3, 4):
+        for i in range(len(data) - order + 1):
+            slot = (int.from_bytes(data[i : i + order], "little") + order - 1) * 2654435761 % (1 << 32)
+            slot = ((slot ^ (slot >> 15)) * 2246822519 % (1 << 32)) >> 20
+            out += model.weights[slot]
+            total += 1
+    return out / max(1, total) + model.bias
+
+
+def test_margins_equal_those_gram_by_gram(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train(docs)
+    texts = ["The cat sat.", "Über allen Gipfeln ist Ruh", "x", "日本語 und mehr", "y z " * 40]
+    want = [plain_margins(model, t) for t in texts]
+    data, offsets, _ = K.buffers(pa.array(texts))
+    assert np.allclose(model._margins(data, offsets), want, atol=1e-6)
+    monkeypatch.setattr(K, "CHUNK_BYTES", 16)
+    for t, w in zip(texts, want, strict=True):  # one by one, in pieces
+        data, offsets, _ = K.buffers(pa.array([t]))
+        assert np.allclose(model._margins(data, offsets), [w], atol=1e-6)

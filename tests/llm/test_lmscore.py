@@ -107,6 +107,33 @@ def test_shared_prediction_equals_bit_by_bit():
     assert np.allclose(both[:-1], got, rtol=1e-5) and abs(both[-1] - plain_bits(model, wide)) < 0.05 * both[-1]
 
 
+def test_a_long_text_in_pieces_costs_what_it_costs_whole(monkeypatch):
+    model = trained()
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gämma", "ε", "x" * 70], 80)) + end for end in ("", "  \n", " z")]
+    for text in [*texts, " " * 500, "y" * 900]:
+        data, offsets, _ = K.buffers(pa.array([text], pa.string()))
+        whole = model.read(data, offsets)
+        monkeypatch.setattr(L, "CHUNK", 120)
+        parts = model.read(data, offsets)
+        n = len(list(L.long_pieces(data)))
+        monkeypatch.undo()
+        assert n > 1 or " " not in text.strip()
+        assert [x.tolist() for x in parts[:2] + parts[4:5]] == [x.tolist() for x in whole[:2] + whole[4:5]] and np.allclose(parts[3], whole[3], rtol=1e-5)
+        assert sorted(parts[5].tolist()) == sorted(whole[5].tolist())
+
+
+def test_long_texts_are_learnt_alike_whatever_the_pieces(monkeypatch):
+    text = " ".join(np.random.default_rng(6).choice(["alpha", "beta", "gämma"], 400))
+    data, offsets, _ = K.buffers(pa.array([text], pa.string()))
+    whole, parts = L.Learner(), L.Learner()
+    whole.learn(*L.canonical(K.words(data, offsets)))
+    monkeypatch.setattr(L, "CHUNK", 300)
+    for _, piece, skip in L.long_pieces(data):
+        parts.learn(piece, np.array([0, len(piece)]), skip)
+    assert parts.n.sum() == whole.n.sum() and np.array_equal(parts.n, whole.n)
+
+
 def test_tree_of_sums(spark):
     rows = [(1, k, 1, np.full(4, i + 1, "<f4").tobytes()) for i in range(9) for k in range(2)] + [(2, 0, 1, np.full(3, 1.0, "<f8").tobytes())] * 9
     parts = spark.createDataFrame(rows, "kind int, key bigint, n bigint, payload binary").repartition(4)

@@ -48,6 +48,25 @@ def test_a_large_group_that_one_leader_does_not_link(spark, monkeypatch):
     check(spark, rows, 3)
 
 
+def test_recall_at_the_floor_and_without_it(spark, monkeypatch):
+    """Texts at a similarity of 0.8 to 0.9: the floor loses no link that floor 0, the exact way, finds."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "SHINGLES", 1500)
+    rng = random.Random(8)
+    rows = []
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(100)]
+        for i in range(14):
+            words = list(base)
+            for at in rng.sample(range(5, 95), rng.choice([1, 2, 3])):
+                words[at] = f"x{i}_{at}"
+            rows.append((group * 100 + i, " ".join(words), "en", "s", 1))
+    docs, want = spark.createDataFrame(rows, SCHEMA), similar_components(rows, 3)
+    for floor in (neardup.FLOOR, 0.0):
+        assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, 3, floor=floor).collect()} == want
+    assert 12 < len(set(want.values())) < len(rows)
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 

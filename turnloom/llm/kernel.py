@@ -80,6 +80,23 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         a = b
 
 
+def pieces(data: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+    """One text in pieces of about `limit` bytes, cut behind separators: no word crosses a cut (a longer word stays whole)."""
+    a = 0
+    while a < len(data):
+        b = min(a + limit, len(data))
+        if b < len(data):
+            back = np.flatnonzero(SPACE[data[a:b]])
+            if len(back):
+                b = a + int(back[-1]) + 1
+            else:
+                while b < len(data) and not SPACE[data[b - 1]]:
+                    ahead = np.flatnonzero(SPACE[data[b : b + limit]])
+                    b = b + int(ahead[0]) + 1 if len(ahead) else min(b + limit, len(data))
+        yield data[a:b]
+        a = b
+
+
 @dataclass
 class Words:
     data: np.ndarray  #: the chunk's bytes after mapping

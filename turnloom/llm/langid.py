@@ -4,6 +4,7 @@ First a family is predicted, then one-versus-one linear support vector machines
 tell the related languages of that family apart.  Features are hashed byte 2-, 3-
 and 4-grams of the whole text (A-Z lower-cased, ASCII other than letters as a space), as
 shares of the text's grams, so a prediction is one gather and one sum per gram.
+A long text is read in pieces, so that memory is bounded by the chunk.
 
 Training: a bounded sample, `PER_LANG` texts a language (`SAMPLE` in all), drawn by
 hash of the id from the labelled rows the caller marks; every SVM is trained on
@@ -16,6 +17,7 @@ learned from; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,8 +57,11 @@ def family(code: str) -> str:
     return _FAMILY.get(code.lower().split("-")[0].split("_")[0], "other")
 
 
-def _indices(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """orders x bytes gram slots; DIM where the gram would leave its text."""
+def _indices(data: np.ndarray, offsets: np.ndarray, more: int = 0) -> np.ndarray:
+    """orders x bytes gram slots; DIM where the gram would leave its text.
+
+    The last `more` bytes belong to the piece that follows: no gram of this one starts there.
+    """
     b = _MAP[data].astype(np.uint32)
     n = len(b)
     left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(n)
@@ -68,11 +73,20 @@ def _indices(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             slot = (code + np.uint32(k)) * np.uint32(2654435761)
             slot = ((slot ^ (slot >> np.uint32(15))) * np.uint32(2246822519)) >> np.uint32(32 - 12)
             out[ORDERS.index(k + 1)] = np.where(left > k, slot, DIM)
+    if more:
+        out[:, n - more :] = DIM
     return out
 
 
+def _pieces(data: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """(piece, bytes of it that the next one begins with) of a text."""
+    for a in range(0, max(1, len(data)), K.CHUNK_BYTES):
+        part = data[a : a + K.CHUNK_BYTES + max(ORDERS) - 1]
+        yield part, max(0, len(part) - K.CHUNK_BYTES)
+
+
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    seen = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
+    seen = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data], dtype=np.int32)])
     out = seen[offsets[1:]] > seen[offsets[:-1]]
     for i in np.flatnonzero(~out & (np.diff(offsets) > 0)):
         out[i] = any(c.isalpha() for c in data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
@@ -84,9 +98,10 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     rows = []
     for a, b in K.chunks(offsets):
         part, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        slots = _indices(part, o)
+        slots = _indices(part, o) if b - a > 1 else None
         for r, ok in enumerate(_has_letter(part, o)):
-            x = np.bincount(slots[:, o[r] : o[r + 1]].ravel(), minlength=DIM + 1)[:DIM]
+            found = [slots[:, o[r] : o[r + 1]]] if slots is not None else (_indices(p, np.array([0, len(p)]), more) for p, more in _pieces(part))
+            x = sum(np.bincount(f.ravel(), minlength=DIM + 1)[:DIM] for f in found)
             rows.append((x / max(1, x.sum())).astype(np.float32).tobytes() if ok else None)
     return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(rows, pa.binary())], names=["lang", "x"])
 
@@ -139,11 +154,13 @@ class Model:
             return out + self.bias
         full = np.flatnonzero(np.diff(o) > 0)
         total = np.zeros(n)
-        slots = _indices(part, o)
-        for row in slots:
-            total[full] += np.add.reduceat((row < DIM).astype(np.int64), o[full])
-            for m in range(len(self.machines)):
-                out[full, m] += np.add.reduceat(self.weights[:, m][row], o[full])
+        at = o[full]
+        # a text longer than a chunk is a chunk of its own: it is read in pieces
+        for piece, more in _pieces(part) if n == 1 else ((part, 0),):
+            for row in _indices(piece, np.array([0, len(piece)]) if n == 1 else o, more):
+                total[full] += np.add.reduceat((row < DIM).astype(np.int64), at)
+                for m in range(len(self.machines)):
+                    out[full, m] += np.add.reduceat(self.weights[:, m][row], at)
         return out / np.maximum(total, 1)[:, None] + self.bias
 
     def _vote(self, margin: np.ndarray, level: str, names: list[str]) -> tuple[np.ndarray, np.ndarray]:

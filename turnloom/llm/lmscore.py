@@ -18,7 +18,12 @@ at most `HEAD` of them, are broadcast, and all other words of a text go through
 a join with the remaining counts.  A word is its 64-bit hash.
 
 In a chunk equal (history, byte) windows are predicted once: chunks only bound memory,
-and a score doesn't depend on its neighbours.
+and a score doesn't depend on its neighbours.  A text longer than a chunk is read in pieces
+cut between words, each with the bytes and the cost before it: memory is bounded by the
+chunk (or by the longest word), not by the text.
+
+The weights of the mix are those of online passes over the tasks' rows, averaged: they, and so
+`score`, depend on how the input is split into tasks.  Counts and `base_score` don't.
 
 Defined results: null or blank text is its end alone (one token); no training
 rows give 8 bits a byte and base_score 0 a token; repeated rows are scored each;
@@ -48,7 +53,9 @@ GATES, LEVELS, BUCKETS = 4, 2, 33
 #: A text is dear once it has cost more bits a byte than this.
 DEAR = 2.2
 HEAD = 1 << 20
-CHUNK = 3_500_000
+CHUNK = 2_800_000
+#: So many distinct words a task merges before it hands them on.
+HELD = 1 << 20
 FAN_IN = 128
 STEPS = 3
 #: A task's chunks start small, so that weights learn early, and double up to CHUNK.
@@ -176,12 +183,34 @@ class Mixer:
         return np.clip((mapped + 1 / (1 + np.exp(-dot))) / 2, 1e-5, 1 - 1e-5)
 
 
-def levels(cost: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """By byte: whether its text has been dear before it; a prior counts as 16 bytes of 2.5 bits."""
+#: A text's excess over DEAR before its first byte: a prior of 16 bytes of 2.5 bits.
+PRIOR = 16 * (2.5 - DEAR)
+
+
+def levels(cost: np.ndarray, offsets: np.ndarray, owed: float = PRIOR) -> np.ndarray:
+    """By byte: whether its text has been dear before it; `owed` is the excess before the first byte."""
     gap = cost.astype(np.float64) - DEAR
     total = np.cumsum(gap)
     total -= gap
-    return total - np.repeat(total[offsets[:-1]] - 16 * (2.5 - DEAR), np.diff(offsets)) > 0
+    return total - np.repeat(total[offsets[:-1]] - owed, np.diff(offsets)) > 0
+
+
+def long_pieces(text: np.ndarray) -> Iterator[tuple[K.Words, np.ndarray, int]]:
+    """(words, canonical bytes, how many of these only tell the history) of a long text's pieces, in order."""
+    full = np.flatnonzero(~K.SPACE[text])
+    text = text[: full[-1] + 1] if len(full) else text[:0]
+    history, done = np.zeros(0, np.uint8), 0
+    for part in K.pieces(text, CHUNK):
+        done += len(part)
+        w = K.words(part, np.array([0, len(part)]))
+        if not len(w.starts):
+            continue
+        data = canonical(w)[0]
+        data[-1] = 10 if done == len(text) else 32
+        yield w, np.concatenate([history, data]), len(history)
+        history = np.concatenate([history, data])[-5:]
+    if not len(text):
+        yield K.words(text, np.array([0, 0])), np.array([10], np.uint8), 0
 
 
 def evaluate(keys: np.ndarray, look, mixer: Mixer) -> Iterator[tuple]:
@@ -227,9 +256,11 @@ class Learner:
     def rate(self) -> float:
         return 0.3 / (1 + self.steps / 20)
 
-    def learn(self, data: np.ndarray, offsets: np.ndarray) -> None:
+    def learn(self, data: np.ndarray, offsets: np.ndarray, skip: int = 0) -> None:
+        """One chunk; its first `skip` bytes are history alone."""
         keys, inverse, counts = distinct(data, offsets)
         counts = counts.astype(np.float32)
+        np.subtract.at(counts, inverse[:skip], 1)
         self.steps += 1
         self.bytes += len(data)
         plain, marks = np.zeros(len(keys), np.float32), []
@@ -251,7 +282,7 @@ class Learner:
             add.real, add.imag = both - ones, ones
             for a in at:
                 np.add.at(self.n.view(np.complex64), a, add)
-        dear = np.bincount(inverse[levels(plain[inverse], offsets)], minlength=len(keys))
+        dear = np.bincount(inverse[skip:][levels(plain[inverse], offsets)[skip:]], minlength=len(keys))
         for lv, weight in enumerate((counts - dear, dear)):
             for i, bucket in enumerate(marks):
                 self.mixer.apm[lv, i] += np.bincount(bucket, weight, 2 * BUCKETS).reshape(BUCKETS, 2)
@@ -275,25 +306,39 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 OUT = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
 
 
+def _word_rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(keys), pa.array(counts), pa.nulls(len(keys), pa.binary())], schema=OUT)
+
+
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     learner = None
+    keys = counts = np.zeros(0, np.int64)
     for batch in batches:
         if not batch.num_rows:
             continue
         learner = learner or Learner()
-        keys, counts = np.array([END_HASH]), np.array([batch.num_rows])
+        keys, counts = _merge(np.append(keys, END_HASH), np.append(counts, batch.num_rows))
         data, offsets, _ = K.buffers(batch.column("text"))
         a = 0
         while a < batch.num_rows:
             size = min(CHUNK, FIRST_CHUNK << min(learner.steps, 10))
             b = a + next(K.chunks(offsets[a:], size))[1]
-            w = K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            h = np.sort(K.word_hashes(w).view(np.int64))
-            k, c = _merge(h, np.ones(len(h), np.int64))
-            keys, counts = _merge(np.concatenate([keys, k]), np.concatenate([counts, c]))
-            learner.learn(*canonical(w))
+            part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            if len(part) > CHUNK:
+                chunks = ((w, d, np.array([0, len(d)]), skip) for w, d, skip in long_pieces(part))
+            else:
+                w = K.words(part, own)
+                chunks = ((w, *canonical(w), 0),)
+            for w, canon, at, skip in chunks:
+                k, c = _merge(np.sort(K.word_hashes(w).view(np.int64)), np.ones(len(w.starts), np.int64))
+                keys, counts = _merge(np.concatenate([keys, k]), np.concatenate([counts, c]))
+                learner.learn(canon, at, skip)
+                if len(keys) > HELD:
+                    yield _word_rows(keys, counts)
+                    keys = counts = np.zeros(0, np.int64)
             a = b
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), pa.array(keys), pa.array(counts), pa.nulls(len(keys), pa.binary())], schema=OUT)
+    if len(keys):
+        yield _word_rows(keys, counts)
     if learner:
         held: list[tuple[int, int, bytes]] = []
         for row in learner.rows():
@@ -343,6 +388,10 @@ class Model:
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length of each row of canonical bytes."""
+        return self.spend(data, offsets)[0]
+
+    def spend(self, data: np.ndarray, offsets: np.ndarray, skip: int = 0, owed: float = PRIOR) -> tuple[np.ndarray, float]:
+        """(code length of each row of canonical bytes, without the first `skip` bytes; the last row's excess by the mix)."""
         keys, inverse, _ = distinct(data, offsets)
         plain, fine = np.zeros(len(keys), np.float32), np.zeros((LEVELS, len(keys)), np.float32)
         for i, (_, _, dot, _, _, pick, _) in enumerate(evaluate(keys, self.look, self.mixer)):
@@ -350,31 +399,45 @@ class Model:
             p = self.mixer.refine(i, dot)
             for lv in range(LEVELS):
                 fine[lv] -= np.log2(np.concatenate([1 - p[lv], p[lv]]))[pick]
-        cost = np.where(levels(plain[inverse], offsets), fine[1][inverse], fine[0][inverse])
-        return np.add.reduceat(cost, offsets[:-1], dtype=np.float64)
+        spent = plain[inverse]
+        spent[:skip] = DEAR
+        cost = np.where(levels(spent, offsets, owed), fine[1][inverse], fine[0][inverse])
+        cost[:skip] = 0
+        return np.add.reduceat(cost, offsets[:-1], dtype=np.float64), owed + float((spent.astype(np.float64) - DEAR).sum())
+
+    def known(self, w: K.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By row: words of the head and their logarithms; the hashes of the others, and how many."""
+        h = K.word_hashes(w).view(np.int64)
+        # sorted look-ups stay in cache
+        order = np.argsort(h)
+        at = np.empty(len(h), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.head, h[order]), max(0, len(self.head) - 1))
+        known = self.head[at] == h if len(self.head) else np.zeros(len(h), bool)
+        c = np.where(known, self.head_counts[at], 0) if len(self.head) else np.zeros(len(h))
+        total = np.concatenate([[0.0], np.cumsum(np.where(known, np.log10(c + 1.0), 0))])
+        seen = np.concatenate([[0], np.cumsum(known)])
+        first = np.concatenate([[0], np.cumsum(~known)])[w.first]
+        return seen[w.first[1:]] - seen[w.first[:-1]], total[w.first[1:]] - total[w.first[:-1]], h[~known], np.diff(first)
+
+    def read(self, part: np.ndarray, own: np.ndarray) -> list[np.ndarray]:
+        """Words, known words, their logarithms, bits, size, unknown hashes and how many of these, by row of a chunk."""
+        if len(part) <= CHUNK:
+            w = K.words(part, own)
+            known, logs, tails, n_tails = self.known(w)
+            canon = canonical(w)
+            return [w.counts, known, logs, self.bits(*canon), np.diff(canon[1]), tails, n_tails]
+        found, owed = [], PRIOR
+        for w, data, skip in long_pieces(part):
+            known, logs, tails, n_tails = self.known(w)
+            bits, owed = self.spend(data, np.array([0, len(data)]), skip, owed)
+            found.append([w.counts, known, logs, bits, np.array([len(data) - skip]), tails, n_tails])
+        return [np.concatenate(x) if i == 5 else np.sum(x, axis=0) for i, x in enumerate(zip(*found, strict=True))]
 
     def score(self, batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets, _ = K.buffers(batch.column("text"))
-        out: list[list] = [[] for _ in range(7)]
-        for a, b in K.chunks(offsets, CHUNK):
-            w = K.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            h, n = K.word_hashes(w).view(np.int64), w.counts
-            # sorted look-ups stay in cache
-            order = np.argsort(h)
-            at = np.empty(len(h), np.int64)
-            at[order] = np.minimum(np.searchsorted(self.head, h[order]), max(0, len(self.head) - 1))
-            known = self.head[at] == h if len(self.head) else np.zeros(len(h), bool)
-            c = np.where(known, self.head_counts[at], 0) if len(self.head) else np.zeros(len(h))
-            total = np.concatenate([[0.0], np.cumsum(np.where(known, np.log10(c + 1.0), 0))])
-            seen = np.concatenate([[0], np.cumsum(known)])
-            tails, tail_first = h[~known], np.concatenate([[0], np.cumsum(~known)])[w.first]
-            canon = canonical(w)
-            for k, v in enumerate((n, seen[w.first[1:]] - seen[w.first[:-1]], total[w.first[1:]] - total[w.first[:-1]], self.bits(*canon), np.diff(canon[1]))):
-                out[k].append(v)
-            out[5].append(tails)
-            out[6].append(np.diff(tail_first))
-        n, known, logs, bits, size = (np.concatenate(x) for x in out[:5])
-        tail = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.concatenate(out[6]))]).astype(np.int32)), pa.array(np.concatenate(out[5])))
+        rows = [self.read(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in K.chunks(offsets, CHUNK)]
+        n, known, logs, bits, size, tails, n_tails = (np.concatenate(x) for x in zip(*rows, strict=True))
+        tail = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_tails)]).astype(np.int32)), pa.array(tails))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *map(pa.array, (n, known, logs, bits, size)), tail], names=["doc_id", "held_out", "n", "known", "logs", "bits", "size", "tail"])
 
 

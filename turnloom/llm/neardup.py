@@ -10,14 +10,15 @@ How groups of any size are handled, without pairs of all their members:
 2. In every band bucket the most central member (the one whose buckets are
    largest in sum) is compared with all others: as many pairs as rows.
 3. Buckets whose members are by then in one component are settled.  In the rest
-   the members are dealt into blocks of about `BLOCK` rows; each pair of blocks
-   is one bounded task, which passes over pairs already in one component and
+   the members are dealt into blocks of about `BLOCK` rows and `SHINGLES` shingles; each pair of
+   blocks is one bounded task, which passes over pairs already in one component, over
+   those that share an open bucket of a lesser number (they are verified there) and
    over those whose sketches agree in less than `floor` of their coordinates,
    verifies the others on the full sets, and returns a spanning forest only.
 
 A linked pair (similarity 0.8) shares no band with probability
 (1 - 0.8^4)^32 < 5e-8, and is passed over in step 3 (128 coordinates, floor
-0.58, over six standard deviations) with less than 1e-8.
+0.58, over six standard deviations) with less than 1e-8; with floor 0 none is passed over.
 
 Defined results: null or blank text has no shingles, links with nothing and is
 kept; rows that share a doc_id are one node with the links of all of them; a
@@ -36,7 +37,7 @@ from . import kernel as K
 from .common import cut, map_batches, quoted
 
 T, BANDS = 128, 32
-BLOCK = 512
+BLOCK, SHINGLES = 512, 1 << 19
 FLOOR = 0.58
 
 
@@ -120,7 +121,11 @@ def _verify_block(percent: int, floor: float):
         sets = [np.asarray(x) for x in table["shingles"].to_pandas()]
         size = np.array([len(s) for s in sets])
         marks = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint8).reshape(len(ids), T)
-        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        lo, hi, bucket = table["lo"][0].as_py(), table["hi"][0].as_py(), table["bucket"][0].as_py()
+        # the lesser open buckets of each row; this bucket's number, which is none of them, stands where it has fewer
+        lesser = [np.array([x for x in opened if x < bucket], np.int64) for opened in table["opened"].to_pylist()]
+        width = max(map(len, lesser))
+        earlier = np.array([np.concatenate([x, np.full(width - len(x), bucket, np.int64)]) for x in lesser], np.int64).reshape(len(ids), width)
         parent = {c: c for c in comp.tolist()}
 
         def root(x: int) -> int:
@@ -133,6 +138,8 @@ def _verify_block(percent: int, floor: float):
         for i in np.flatnonzero(chunk == lo):
             js = right[right > i] if lo == hi else right
             js = js[(comp[js] != comp[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
+            if len(lesser[i]):
+                js = js[~np.isin(earlier[js], lesser[i]).any(axis=1)]
             agree = (marks[js] == marks[i]).sum(axis=1)
             js = js[agree >= floor * T]
             for j in js[np.argsort(-agree[agree >= floor * T], kind="stable")]:
@@ -147,7 +154,7 @@ def _verify_block(percent: int, floor: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, floor: float = FLOOR) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Links are pairs whose sets of k-word shingles (A-Z lower-cased; a shorter text is
@@ -162,9 +169,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     firsts = cut(firsts, "firsts")
     copies = named.select("doc_id", *key).join(firsts.select(*key, "rep"), key).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     # 2. buckets, each compared with its most central member
-    rows = firsts.select("rep", F.posexplode("bands").alias("band", "h")).select("rep", F.col("h").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    rows = cut(rows.join(sizes, "bucket"), "buckets")
+    rows = firsts.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("weight")).where("m > 1")
+    rows = cut(rows.drop("n_shingles").join(sizes, "bucket"), "buckets")
     central = rows.groupBy("rep").agg(F.sum("m").alias("reach"))
     leaders = rows.join(central, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("reach", -F.col("rep"))).alias("leader"))
     stars = cut(
@@ -181,16 +188,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = cut(links, "links")
     comp = cut(components(links), "components")
     # 3. buckets not yet of one component, in blocks
-    rows = rows.join(comp, F.col("rep") == F.col("id"), "left").select("bucket", "rep", "m", F.coalesce("component", "rep").alias("component"))
+    rows = rows.join(comp, F.col("rep") == F.col("id"), "left").select("bucket", "rep", "m", "weight", F.coalesce("component", "rep").alias("component"))
     rows = cut(rows, "members")
     open_ = rows.where("m > 2").groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
     open_ = cut(open_, "open")
-    n_chunks = F.ceil(F.col("m") / BLOCK)
-    dealt = rows.join(open_, "bucket").withColumn("chunk", F.pmod(F.xxhash64("rep"), n_chunks))
+    n_chunks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("weight") / SHINGLES))
+    rows = cut(rows.join(open_, "bucket"), "unsettled")
+    opened = rows.groupBy(F.col("rep").alias("id")).agg(F.collect_list("bucket").alias("opened"))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("rep"), n_chunks))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)))
     dealt = dealt.select("bucket", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", F.col("rep").alias("id"), "component")
-    blocks = dealt.join(sets, "id").groupBy("bucket", "lo", "hi")
-    more = blocks.applyInArrow(_verify_block(percent, FLOOR), "a bigint, b bigint")
+    blocks = dealt.join(sets.join(opened, "id"), "id").groupBy("bucket", "lo", "hi")
+    more = blocks.applyInArrow(_verify_block(percent, floor), "a bigint, b bigint")
     comp = components(links.union(more).union(copies))
     return (
         sk.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import planted
 from .chat import repair
 from .common import crc_mod, documents
 from .decontam import contamination
@@ -155,3 +156,6 @@ ORACLES: dict[str, str] = {
         FROM w LEFT JOIN spots ON spots.doc_id = w.id LEFT JOIN items ON items.doc_id = w.id WHERE kind = 'd'
     """,
 }
+
+QUERIES |= planted.QUERIES
+ORACLES |= planted.oracles(ORACLES["op8_quality_rules"])

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,13 +159,15 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def done(bundle: Bundle, name: str) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(bundle.index)], pa.int64()), pa.array([bundle.close()], pa.binary())], names=["archive_id", "n_records", "archive"])
 
-    bundle = name = None
+    bundle, name, n = None, "", 0
     for batch in batches:
         ids, urls, htmls, refs, digests = (batch.column(c) for c in ("page_id", "url", "html", "refers_to", "digest"))
         for i in range(batch.num_rows):
             rid, data = record(ids[i].as_py(), urls[i].as_py(), (htmls[i].as_py() or "").encode(), refs[i].as_py(), digests[i].as_py())
             if bundle is None:
-                bundle, name = Bundle(), hashlib.sha256(data).hexdigest()[:24]
+                bundle, n = Bundle(), n + 1
+                # partitions may begin with equal records: the place tells their archives apart
+                name = f"{TaskContext.get().partitionId():06d}-{n:04d}-{hashlib.sha256(data).hexdigest()[:16]}"
             bundle.add(rid, data)
             if bundle.total >= ARCHIVE_BYTES:
                 yield done(bundle, name)
