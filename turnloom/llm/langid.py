@@ -68,7 +68,7 @@ def _indices(data: np.ndarray, offsets: np.ndarray, more: int = 0) -> np.ndarray
     out = np.full((len(ORDERS), n), DIM, np.int32)
     code = b.copy()
     for k in range(1, max(ORDERS)):
-        code[: n - k] |= b[k:] << np.uint32(8 * k)
+        code[: max(0, n - k)] |= b[k:] << np.uint32(8 * k)
         if k + 1 in ORDERS:
             slot = (code + np.uint32(k)) * np.uint32(2654435761)
             slot = ((slot ^ (slot >> np.uint32(15))) * np.uint32(2246822519)) >> np.uint32(32 - 12)
