@@ -40,10 +40,11 @@ def events(rows: DataFrame, parties: DataFrame) -> tuple[DataFrame, DataFrame]:
     asked = asked.withColumn("label", label).withColumn("said", F.when(label, F.slice("inc.parts", F.lit(2), F.size("inc.parts"))).otherwise(F.col("inc.parts")))
     asked = asked.withColumn("input_query", joined(F.col("said")))
     asked = asked.join(names.withColumnRenamed("party", "to_party"), F.col("out.receiver") == F.col("to_party"), "left")
-    query = semantic(F.col("input_query"))
     parts = F.col("out.parts")
-    echo = (F.size(parts) >= 2) & F.exists(parts, lambda x: semantic(x["text"]) == query)
-    routed = F.when(echo, F.get(F.filter(parts, lambda x: semantic(x["text"]) != query), F.lit(0)))
+    # comparison forms once a row, not once an element
+    asked = asked.withColumns({"query": semantic(F.col("input_query")), "sems": F.transform(parts, lambda x: semantic(x["text"]))})
+    echo = (F.size(parts) >= 2) & F.array_contains("sems", F.col("query"))
+    routed = F.when(echo, F.get(F.filter(parts, lambda x, i: F.get("sems", i) != F.col("query")), F.lit(0)))
     place = lambda path, i: F.concat(path, F.lit(".content.message["), i.cast("string"), F.lit("].value"))
     receiver = F.when((F.col("out.receiver") != "") & F.col("to_party").isNull(), F.col("out.receiver"))
     first = F.get(F.col("inc.parts"), F.lit(0))

@@ -58,26 +58,48 @@ def read_spans(spans: DataFrame) -> DataFrame:
 def nearest_edges(asked: DataFrame, spans: DataFrame) -> DataFrame:
     """For each asked span (uid, q) the nearest caller at the edge with the same question and a distinct answer.
 
-    Callers are climbed one level a round, all spans at once; a span that was visited
-    is not climbed again, so that cycles end; the climb ends when no span has a caller left.
+    Every span's nearest such edge, whatever its question, is found by doubling the pointers to callers: rounds grow with
+    the logarithm of a chain's length.  What is then climbed, level by level, are edges alone; one that was
+    visited is not climbed again, so that cycles end.
     """
     by_id = spans.where("span <> ''").groupBy(*GROUP, F.col("span").alias("up")).agg(F.min_by(F.struct("uid", "parent", "edge", "p", "name", "ord"), "ord").alias("c"))
-    by_id = cut(by_id, "callers")
-    front = asked.select("uid", "q", *GROUP, F.col("parent").alias("up"), F.array(F.lit("")).alias("seen"))
+    valid = F.coalesce(F.col("c.edge") & distinct_pair(F.col("c.p.q"), F.col("c.p.a")), F.lit(False))
+    by_id = cut(by_id.withColumn("valid", valid), "callers")
+    above = _edges_above(by_id)
+    edges = by_id.where("valid").select(*GROUP, F.col("up").alias("at"), "c")
+    front = asked.select("uid", "q", *GROUP, F.col("parent").alias("up"), F.array().cast("array<string>").alias("seen"))
     found: list[DataFrame] = []
     while True:
-        step = front.where(~F.array_contains("seen", F.col("up"))).join(by_id, [*GROUP, "up"])
-        hit = F.coalesce(F.col("c.edge") & distinct_pair(F.col("c.p.q"), F.col("c.p.a")) & (same(F.col("c.p.q")) == same(F.col("q"))), F.lit(False))
-        step = cut(step.withColumn("hit", hit), "climb")
+        step = front.join(above, [*GROUP, "up"]).where(~F.array_contains("seen", F.col("at"))).join(edges, [*GROUP, "at"])
+        step = cut(step.withColumn("hit", same(F.col("c.p.q")) == same(F.col("q"))), "climb")
         found.append(step.where("hit").select("uid", *GROUP, "q", F.col("c.p.a").alias("a"), F.col("c.name").alias("source"), F.col("c.ord").alias("source_ord")))
         if len(found) >= ROUNDS:
             found = [cut(reduce(DataFrame.unionByName, found), "hits")]
-        front = step.where("not hit").select("uid", "q", *GROUP, F.col("c.parent").alias("up"), F.array_append("seen", F.col("up")).alias("seen"))
-        if front.where(~F.array_contains("seen", F.col("up"))).isEmpty():
+        rest = step.where("not hit")
+        if rest.isEmpty():
             break
+        front = rest.select("uid", "q", *GROUP, F.col("c.parent").alias("up"), F.array_append("seen", F.col("at")).alias("seen"))
     return reduce(DataFrame.unionByName, found)
 
 
+def _edges_above(callers: DataFrame) -> DataFrame:
+    """(group, up, at): the nearest valid caller at or above each span, by its id; spans without one are left out.
+
+    A pointer that has met no valid caller is replaced by that of the span it points at.  In a cycle
+    it never does: the rounds end at the logarithm of the largest group.
+    """
+    pointers = callers.select(*GROUP, "up", "valid", F.when(F.col("valid"), F.col("up")).otherwise(F.nullif("c.parent", F.lit(""))).alias("at"))
+    largest = callers.groupBy(*GROUP).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(largest.bit_length() + 1):
+        there = pointers.select(*GROUP, F.col("up").alias("at"), F.col("valid").alias("found"), F.col("at").alias("further"))
+        pointers = pointers.join(there, [*GROUP, "at"], "left").select(*GROUP, "up", "valid", F.when(F.col("valid") | F.col("found"), F.col("at")).otherwise(F.col("further")).alias("at"), F.coalesce("found", F.lit(True)).alias("done"))
+        pointers = cut(pointers, "pointers")
+        if pointers.where("not done and at is not null").isEmpty():
+            break
+    ends = callers.where("valid").select(*GROUP, F.col("up").alias("at"))
+    return pointers.where("at is not null").select(*GROUP, "up", "at").join(ends, [*GROUP, "at"], "left_semi")
+
+
 def _unanimous(rows: DataFrame, order: str) -> DataFrame:
     """By group: its earliest candidate where all have one pair; n variants."""
     variant = F.struct(same(F.col("q")).alias("q"), same(F.col("a")).alias("a"))
