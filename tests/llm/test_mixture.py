@@ -131,3 +131,9 @@ def test_columns_named_like_the_operator(spark):
     docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in CLASHES})
     got = M.curriculum(docs).collect()
     assert len(got) == 60 and all(r[c] == c for r in got for c in CLASHES)
+
+
+def test_the_range_of_a_position(spark):
+    for bounds in ([0.5], [0.1, 0.2], [i / 37 for i in range(1, 37)]):
+        got = spark.range(201).select((F.col("id") / 200).alias("p")).select("p", M._range_of(F.col("p"), bounds).alias("n")).collect()
+        assert all(r["n"] == sum(b <= r["p"] for b in bounds) for r in got)

@@ -50,7 +50,7 @@ def test_stages(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)

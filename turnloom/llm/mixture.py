@@ -138,7 +138,7 @@ def curriculum(
     every = F.array(*[_position(schedules, shapes, e) for e in range(max_repeats)])
     placed = placed.withColumn("positions", F.slice(every, F.lit(1), F.col("times"))).withColumn("position", F.get("positions", F.lit(0)))
     bounds, idle = _ranges(plan, schedules, shapes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    taken = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("position"))) if bounds else F.lit(0)
+    taken = _range_of(F.col("position"), bounds) if bounds else F.lit(0)
     left = len(bounds) + 1 + F.floor(F.conv(F.substring("order", 9, 8), 16, 10).cast("double") / F.lit(2.0**32) * idle)
     ranged = placed.repartitionById(len(bounds) + 1 + idle, F.when(F.col("position").isNotNull(), taken).otherwise(left).cast("int"))
     ranged = ranged.sortWithinPartitions(F.col("position").asc_nulls_last(), F.when(F.col("position").isNull(), F.substring("order", 9, 24)), "id")
@@ -167,6 +167,20 @@ def _position(schedules: dict[str | None, Knots], shapes: tuple[Knots, ...], epo
     return out
 
 
+def _range_of(position: Column, bounds: list[float]) -> Column:
+    """How many of the bounds, in order, are at or below the position: by halving."""
+    table = F.array(*map(F.lit, bounds))
+
+    def step(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["low"] + s["high"], 1)
+        right = F.get(table, middle) <= position
+        halves = F.struct(F.when(right, middle + 1).otherwise(s["low"]).alias("low"), F.when(right, s["high"]).otherwise(middle).alias("high"))
+        return F.when(s["low"] < s["high"], halves).otherwise(s)
+
+    first = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), first, step)["low"]
+
+
 def _ranges(plan: DataFrame, schedules: dict[str | None, Knots], shapes: tuple[Knots, ...], parts: int) -> tuple[list[float], int]:
     """(bounds of position that deal the taken words over `parts` ranges, number of partitions for what is not taken)."""
     runs = plan.withColumn("start", F.col("before")).withColumn("idle", (F.col("before") >= F.col("target")) | (F.col("n") == 0))
