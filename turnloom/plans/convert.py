@@ -53,7 +53,7 @@ def convert(
     if spans.isEmpty():
         raise ExtractionError("the span table is empty")
     clock.append(perf_counter())
-    found = extract_turns(spans, Config(agent, MAX_EXAMPLES))
+    found = extract_turns(spans, Config(agent, None))
     report = found.report
     clock.append(perf_counter())
     if not report["complete_turns"]:
