@@ -17,3 +17,11 @@ def converted(spark):
 def test_all_issues_are_counted(spark):
     report = converted(spark)["report"]
     assert report["issues"]["counts"] == {"no_boundary_span": N, "unsupported_trace_schema": N} and report["extraction"]["issue_rows"] == 2 * N
+
+
+def test_issues_beyond_the_examples_are_returned(spark):
+    made = converted(spark)
+    shown = made["report"]["issues"]
+    assert len(shown["examples"]) == 100 and shown["examples_truncated"]
+    assert {(r["issue_code"], r["trace_id"]) for r in made["issues"].collect()} == {(c, f"{t}{i:03}") for c, t in (("no_boundary_span", "t"), ("unsupported_trace_schema", "u")) for i in range(N)}
+    assert [tuple(r) for r in made["counterparts"].collect()] == [("user", 1)]

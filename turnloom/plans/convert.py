@@ -39,8 +39,9 @@ def convert(
     metric_contract: str = METRIC_CONTRACT,
     pack: bool = False,
 ) -> dict[str, Any]:
-    """{dataset, report, parquet, workbook, settings}; without `pack` the two blobs are None.
+    """{dataset, report, issues, counterparts, parquet, workbook, settings}; without `pack` the two blobs are None.
 
+    `issues` and `counterparts` are frames of all rows: the report counts them all and shows the first of them.
     Blobs are made in this process, of at most MAX_PACKED rows; larger results are written with `dataset.write`.
     """
     if not isinstance(ignore_checks, bool):
@@ -75,6 +76,8 @@ def convert(
     seconds = [round(b - a, 3) for a, b in zip(clock, clock[1:], strict=False)]
     return {
         "dataset": dataset,
+        "issues": found.issues,
+        "counterparts": found.counterparts,
         "parquet": parquet,
         "workbook": book,
         "settings": sink_settings(spark, output_base, report["agent_id"], distributive),
