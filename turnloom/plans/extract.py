@@ -3,8 +3,8 @@
 Strategies cascade: traces that message exchanges or boundaries explain aren't asked
 by the later ones.  Payloads are decoded once, for the rows that any strategy can
 use, and only slim columns go on.  The decoded rows and the result of each strategy
-are written as tables in the shared folder, so that plans stay small and a lost executor costs
-one stage.  Nothing is collected but the report.
+are written as tables in the shared folder, so that plans stay small, a lost executor costs
+one stage, and the spans and whatever several results read are computed once.  Nothing is collected but the report.
 """
 
 from __future__ import annotations
@@ -73,13 +73,16 @@ def normalise(spans: DataFrame) -> DataFrame:
     return out.withColumn("ord", order)
 
 
-def select_agent(rows: DataFrame, agent_id: str) -> tuple[DataFrame, str]:
-    """(the agent's rows, its id in upper case); without an id the table must hold exactly one."""
+def select_agent(rows: DataFrame, agent_id: str, check: bool = True) -> tuple[DataFrame, str]:
+    """(the agent's rows, its id in upper case); without an id the table must hold exactly one.
+
+    With check=False the caller sees to it that the agent has rows.
+    """
     wanted = agent_id.strip()
     if wanted:
         chosen = rows.where(F.upper("agent") == wanted.upper())
-        if chosen.isEmpty():
-            raise ExtractionError(f"no spans of agent {wanted}")
+        if check:
+            _some(chosen, wanted)
         return chosen, wanted.upper()
     found = [r["agent"] for r in rows.where("agent <> ''").select("agent").distinct().limit(2).collect()]
     if len(found) != 1:
@@ -87,6 +90,11 @@ def select_agent(rows: DataFrame, agent_id: str) -> tuple[DataFrame, str]:
     return rows.where("agent <> ''"), found[0].upper()
 
 
+def _some(rows: DataFrame, agent: str) -> None:
+    if rows.isEmpty():
+        raise ExtractionError(f"no spans of agent {agent}")
+
+
 def mark(rows: DataFrame) -> DataFrame:
     """rows with `candidate`, `outer` and the cheap text tests that decide what is decoded."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
@@ -132,7 +140,14 @@ class Extraction:
 
     @cached_property
     def agent_rows(self) -> DataFrame:
-        return self._chosen[0]
+        return self._checked(self._chosen[0])
+
+    def _checked(self, rows: DataFrame) -> DataFrame:
+        """rows, of which a named agent must have some."""
+        wanted = self.config.agent_id.strip()
+        if wanted:
+            _some(rows, wanted)
+        return rows
 
     @property
     def agent_id(self) -> str:
@@ -140,15 +155,21 @@ class Extraction:
 
     @cached_property
     def _chosen(self) -> tuple[DataFrame, str]:
-        rows, agent = select_agent(normalise(self.spans), self.config.agent_id)
+        rows, agent = select_agent(normalise(self.spans), self.config.agent_id, check=False)
         return mark(rows), agent
 
+    @cached_property
+    def seen(self) -> DataFrame:
+        """All rows of the agent, from one pass over the spans: the payloads of those that a strategy can use are decoded, the others have nulls."""
+        rows = self._chosen[0].withColumn("used", F.expr("candidate or state_likely or closing_likely"))
+        rows = rows.withColumns({c: F.when(F.col("used"), F.col(c)) for c in ("input", "output")})
+        rows = rows.withColumns({"pin": payload(F.col("input")), "pout": payload(F.col("output"))})
+        return self._checked(cut(view(rows).drop("input", "output", "agent", "pin", "pout"), "decoded"))
+
     @cached_property
     def decoded(self) -> DataFrame:
         """The rows that a strategy can use, with what any of them reads of the payloads."""
-        rows = self.agent_rows.where("candidate or state_likely or closing_likely")
-        rows = rows.withColumns({"pin": payload(F.col("input")), "pout": payload(F.col("output"))})
-        return cut(view(rows).drop("input", "output", "agent", "pin", "pout"), "decoded")
+        return self.seen.where("used").drop("used")
 
     # --- message exchanges -------------------------------------------------
     @cached_property
@@ -167,7 +188,8 @@ class Extraction:
 
     @cached_property
     def events(self) -> tuple[DataFrame, DataFrame]:
-        return exchange.events(self.exchange_rows, self.counterparts)
+        entries, exits = exchange.events(self.exchange_rows, self.counterparts)
+        return cut(entries, "entries"), cut(exits, "exits")
 
     @cached_property
     def exchange_pairs(self) -> DataFrame:
@@ -189,16 +211,21 @@ class Extraction:
         return boundary.turns(self.boundary_pairs)
 
     # --- fallbacks -----------------------------------------------------------
-    def _uncovered(self, *covering: DataFrame) -> DataFrame:
+    @cached_property
+    def _rest(self) -> DataFrame:
+        """The decoded rows of traces that neither exchanges nor boundaries explain: all that the fallbacks read."""
+        return cut(self._uncovered(self.decoded, self.exchange_turns, self.boundary_turns), "rest")
+
+    def _uncovered(self, rows: DataFrame, *covering: DataFrame) -> DataFrame:
         ids = [t.select(F.col(c).alias("trace")) for t in covering for c in ("entry_trace_id", "exit_trace_id")]
         covered = ids[0]
         for more in ids[1:]:
             covered = covered.union(more)
-        return self.decoded.join(covered.distinct(), "trace", "left_anti")
+        return rows.join(covered.distinct(), "trace", "left_anti")
 
     @cached_property
     def parent_pairs(self) -> DataFrame:
-        return cut(boundary.parent_pairs(self._uncovered(self.exchange_turns, self.boundary_turns)), "parents")
+        return cut(boundary.parent_pairs(self._rest), "parents")
 
     @cached_property
     def parent_turns(self) -> DataFrame:
@@ -211,11 +238,11 @@ class Extraction:
 
     @cached_property
     def terminal_turns(self) -> DataFrame:
-        return cut(fallback.terminal_turns(self._uncovered(self.exchange_turns, self.boundary_turns, self.parent_turns), self.labels), "closings")
+        return cut(fallback.terminal_turns(self._uncovered(self._rest, self.parent_turns), self.labels), "closings")
 
     @cached_property
     def _states(self) -> DataFrame:
-        return cut(fallback.state_turns(self._uncovered(self.exchange_turns, self.boundary_turns, self.parent_turns, self.terminal_turns)), "states")
+        return cut(fallback.state_turns(self._uncovered(self._rest, self.parent_turns, self.terminal_turns)), "states")
 
     @cached_property
     def state_turns(self) -> DataFrame:
@@ -246,14 +273,14 @@ class Extraction:
 
         entries, exits = self.events
         a = side(entries, "no_x", "input_query", "entry_trace_id", "input_query", "entry")
-        return a.union(side(exits, "no_e", "agent_response", "exit_trace_id", "agent_response", "exit"))
+        return cut(a.union(side(exits, "no_e", "agent_response", "exit_trace_id", "agent_response", "exit")), "resolved")
 
     @cached_property
     def trace_classes(self) -> DataFrame:
         """(trace, class, rows) of traces that nothing supports: no_boundary or unsupported."""
         supported = self.exchange_rows.select("trace").union(self.boundary_pairs.select("trace")).union(self.state_turns.select("entry_trace_id")).distinct()
-        every = self.agent_rows.groupBy("trace").agg(F.bool_or("candidate").alias("asked"), F.count("*").alias("rows"))
-        return every.join(supported, "trace", "left_anti").select("trace", F.when(F.col("asked"), "unsupported").otherwise("no_boundary").alias("class"), "rows")
+        every = self.seen.groupBy("trace").agg(F.bool_or("candidate").alias("asked"), F.count("*").alias("rows"))
+        return cut(every.join(supported, "trace", "left_anti").select("trace", F.when(F.col("asked"), "unsupported").otherwise("no_boundary").alias("class"), "rows"), "classes")
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -276,7 +303,7 @@ class Extraction:
             out = out.unionByName(shown.select(row.alias("i")).select("i.*"))
         from .schemas import ISSUES
 
-        return out.select(*ISSUES.names) if names else out
+        return cut(out.select(*ISSUES.names) if names else out, "issues")
 
     @cached_property
     def report(self) -> dict[str, Any]:
@@ -306,7 +333,7 @@ def metrics(x: Extraction) -> DataFrame:
     fixed = x._fallback.select(F.col("entry_trace_id").alias("trace")).distinct().withColumn("fixed", F.lit(True))
     incomplete = x.boundary_pairs.where("outcome <> 'turn'").join(fixed, "trace", "left").where("not (outcome = 'boundary_pair_incomplete' and coalesce(fixed, false))")
     parts = [
-        rows(x.agent_rows, input_rows=count, input_trace_count=F.count_distinct("trace"), candidate_rows_scanned=when("candidate")),
+        rows(x.seen, input_rows=count, input_trace_count=F.count_distinct("trace"), candidate_rows_scanned=when("candidate")),
         rows(x.exchange_rows, fipa_rows=count),
         rows(x.exchange_pairs, pair_keys=count, entry_without_exit_raw=when("outcome = 'entry_without_exit'"), exit_without_entry_raw=when("outcome = 'exit_without_entry'"),
              duplicate_entry_keys=when("e.replicas > 1"), duplicate_exit_keys=when("x.replicas > 1"), conflicting_entry_keys=when("e.conflicts <> ''"), conflicting_exit_keys=when("x.conflicts <> ''"),
