@@ -51,11 +51,15 @@ def convert(
     agent, distributive, version = read_selection(selection)
     clock = [perf_counter()]
     spans = read_table(spark, traces, "traces")
-    if spans.isEmpty():
-        raise ExtractionError("the span table is empty")
     clock.append(perf_counter())
     found = extract_turns(spans, Config(agent, None))
-    report = found.report
+    try:
+        report = found.report
+    except ExtractionError:
+        # asked only now: where rows are derived, the first of them may cost as much as all
+        if spans.isEmpty():
+            raise ExtractionError("the span table is empty") from None
+        raise
     clock.append(perf_counter())
     if not report["complete_turns"]:
         raise ExtractionError("no complete turns: " + ", ".join(f"{k}={report[k]}" for k in ("candidate_turn_keys", "entry_without_exit", "exit_without_entry", "unsupported_trace_count")))
