@@ -7,13 +7,14 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Python's str.strip has it.
+#: White space as Python's str.strip has it: as a pattern, and its characters.
 _WS = r"[\s\x1c-\x1f\x85\xa0]"
+_SPACES = "".join(chr(i) for i in range(0x10000) if chr(i).isspace())
 
 
 def strip(c: Column) -> Column:
     """Without white space at both ends (Unicode white space, unlike trim)."""
-    return F.regexp_replace(c, rf"(?U)^{_WS}+|{_WS}+$", "")
+    return F.btrim(c.cast("string"), F.lit(_SPACES))
 
 
 def ident(c: Column) -> Column:
@@ -79,7 +80,8 @@ def casefold(c: Column) -> Column:
 
 def semantic(c: Column) -> Column:
     """Comparison form: stripped, white space runs as one space, case folded."""
-    return casefold(F.regexp_replace(ident(c), rf"(?U){_WS}+", " "))
+    # a run that is one space already is no match
+    return casefold(F.regexp_replace(ident(c), rf"(?U){_WS}(?:(?<! )|(?={_WS})){_WS}*", " "))
 
 
 def filled(c: Column) -> Column:

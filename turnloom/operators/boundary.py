@@ -83,16 +83,17 @@ def parent_pairs(spans: DataFrame) -> DataFrame:
             "answer": joined(F.col("out.env.parts")),
         }
     )
+    both = both.withColumns({"sem_query": semantic(F.col("query")), "sem_answer": semantic(F.col("answer"))})
     good = (
         (F.col("carried") != "") & (semantic(F.col("carried")) == semantic(F.col("whole"))) & (F.col("query") != "") & (F.col("answer") != "")
-        & (semantic(F.col("query")) != semantic(F.col("answer"))) & (F.col("session") != "") & (F.col("session") == F.col("up.session")) & F.col("up.t").isNotNull()
+        & (F.col("sem_query") != F.col("sem_answer")) & (F.col("session") != "") & (F.col("session") == F.col("up.session")) & F.col("up.t").isNotNull()
     )
     made = F.when(
         F.coalesce(good, F.lit(False)),
         F.struct("span", "parent", "session", "query", "answer", "label", F.col("up.t").alias("t"), F.col("up.t_end").alias("t_end"), F.col("inc.path").alias("inc_path"), F.col("out.path").alias("out_path")),
     )
-    both = both.select("trace", "ord", made.alias("c"))
-    variant = F.when(F.col("c").isNotNull(), F.struct(semantic(F.col("c.query")).alias("q"), semantic(F.col("c.answer")).alias("a")))
+    both = both.select("trace", "ord", made.alias("c"), "sem_query", "sem_answer")
+    variant = F.when(F.col("c").isNotNull(), F.struct("sem_query", "sem_answer"))
     return both.groupBy("trace").agg(F.count_distinct(variant).alias("variants"), F.min_by("c", F.when(F.col("c").isNotNull(), F.col("ord"))).alias("c"))
 
 
