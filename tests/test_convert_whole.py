@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from turnloom.fixtures import spans_from_conversations, with_failing_gates
 from turnloom.plans.convert import convert, issue_summary
 from turnloom.plans.extract import Config, extract_turns
 
@@ -43,3 +44,16 @@ def test_spans_are_computed_once(spark):
     x = extract_turns(spans.withColumn("agent_id", F.udf(tell, "string").asNondeterministic()("agent_id")), Config("A", None))
     x.turns.count(), x.report, issue_summary(x.issues)
     assert passed.value == n
+
+
+def test_faulty_spans_compute_their_input_once(spark):
+    passed = spark.sparkContext.accumulator(0)
+
+    def tell(agent):
+        passed.add(1)
+        return agent
+
+    spans = spans_from_conversations(spark, "/root/testdata/sf0.001")
+    n = spans.count()
+    assert with_failing_gates(spans.withColumn("agent_id", F.udf(tell, "string").asNondeterministic()("agent_id"))).count() > 0
+    assert passed.value == n

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .functions.tables import cut
+
 START = 1_700_000_000_000_000_000
 AGENT, OTHER = "A1", "A2"
 LABELS = ("alpha", "beta", "gamma")
@@ -112,7 +114,7 @@ def with_failing_gates(spans: DataFrame) -> DataFrame:
     7 an entry without a span id; 8 a route by the receiver alone; 9 an answer without text; 10 no exit, and the
     trace's last state says the same.  Parent conversations by (c div 6) % 3: 1 a second boundary in the trace.
     """
-    own = spans.where(F.col("agent_id") == AGENT)
+    own = cut(spans.where(F.col("agent_id") == AGENT), "own")
     c, k = F.substring("session_id", 2, 20).cast("bigint"), F.element_at(F.split("span_id", "-"), -1)
     own = own.withColumns({"c": c, "k": k, "v": F.when(c % 6 == 0, F.floor(c / 6) % 11), "entry": F.col("span_id").startswith("in-"), "exit": F.col("span_id").startswith("out-")})
     at = lambda v, side=None: (F.col("v") == v) & (F.col(side) if side else F.lit(True))

@@ -267,8 +267,11 @@ class Extraction:
         keys = self.exchange_pairs.select("turn_id", *exchange.KEY, F.col("e").isNull().alias("no_e"), F.col("x").isNull().alias("no_x"))
 
         def side(events: DataFrame, alone: str, text: str, trace: str, said: str, name: str) -> DataFrame:
-            published = self._fallback.select(F.col(trace).alias("trace"), semantic(F.col(said)).alias("sem")).distinct()
-            found = events.where("state = 'complete'").join(keys.where(alone), exchange.KEY).withColumn("sem", semantic(F.col(text)))
+            found = events.where("state = 'complete'").join(keys.where(alone), exchange.KEY)
+            # few keys are one-sided: only texts of their traces are compared
+            near = self._fallback.select(F.col(trace).alias("trace"), F.col(said).alias("said")).join(found.select("trace").distinct(), "trace", "left_semi")
+            published = near.select("trace", semantic(F.col("said")).alias("sem"))
+            found = found.withColumn("sem", semantic(F.col(text)))
             return found.join(published, ["trace", "sem"], "left_semi").select("turn_id", F.lit(name).alias("side")).distinct()
 
         entries, exits = self.events
