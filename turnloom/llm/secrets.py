@@ -33,7 +33,8 @@ SCOPE = 256
 SUM_BLOCK = 64
 KINDS = ("assign", "access", "hex", "key_id", "secret", "endpoint")
 BASE = 3
-ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+# the first letter is tested before the words are tried
+ASSIGN = r"""(?i)(?=[psta])(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind -> (cheap test that any match passes, pattern)
 PATTERNS = {
     "assign": (ASSIGN, ASSIGN),
@@ -41,7 +42,7 @@ PATTERNS = {
     "hex": ("[0-9a-f]{32}", "[0-9a-f]{32,}"),
     "key_id": ("[A-Z0-9]{16}", r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,}(?![A-Za-z0-9])"),
     "secret": (
-        "[A-Za-z0-9+/_-]{24}",
+        "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24}",
         r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])",
     ),
     "endpoint": ("://", r"(?i)https?://[A-Za-z0-9.-]+[^\x00-\x20\"'<>]*"),
@@ -78,15 +79,21 @@ def spans(text: Column, kind: str) -> Column:
     """array<struct<start, rank, end>> of a kind's matches in text, in order."""
     test, pattern = PATTERNS[kind]
     rank = KINDS.index(kind)
-    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else F.lit(None)).alias("value"))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else F.lit(None)
 
     def place(p: Column) -> Column:
         lengths = F.transform(p["found"], lambda m, i: F.struct(F.length(F.get(p["gaps"], i)).alias("gap"), F.length(m).alias("len")))
         return _let(lengths, lambda le: F.transform(_running(le), lambda s, i: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), ((F.length(F.get(p["value"], i)) >= 8) if kind == "assign" else F.lit(True)).alias("ok"))))
 
-    made = F.transform(F.filter(_let(parts, place), lambda s: s["ok"]), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
+    def made(f: Column) -> Column:
+        parts = F.struct(F.split(text, pattern, -1).alias("gaps"), f.alias("found"), value.alias("value"))
+        spans = F.transform(F.filter(_let(parts, place), lambda s: s["ok"]), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
+        return F.when(F.size(f) > 0, spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
+
     hit = text.contains(test) if kind == "endpoint" else text.rlike(test)
-    return F.when(hit & (F.regexp_count(text, F.lit(pattern)) > 0), made).otherwise(F.array().cast(SPAN)).cast(SPAN)
+    # the matches themselves tell whether there are any: no scan of its own counts them
+    return F.when(hit, _let(found, made)).otherwise(F.array().cast(SPAN)).cast(SPAN)
 
 
 def scan(docs: DataFrame) -> DataFrame:
